@@ -101,7 +101,9 @@ def small_table(spark: SparkSession, columns: str, rows) -> DataFrame:
     serialisation, no tasks of its own) and its exact size is known to Spark, so a
     join with it is broadcast without a hint.
     """
-    fields = T.StructType.fromDDL(columns).fields
+    from ..schemas import struct
+
+    fields = struct(columns).fields
     names = ", ".join(f.name for f in fields)
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
     df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")

@@ -2,16 +2,28 @@
 
 from pyspark.sql import types as T
 
-EVENTS = T.StructType.fromDDL("timestamp BIGINT, visitorid BIGINT, event STRING, itemid BIGINT, transactionid STRING")
-ITEM_PROPERTIES = T.StructType.fromDDL("timestamp BIGINT, itemid BIGINT, property STRING, value STRING")
-CATEGORY_TREE = T.StructType.fromDDL("categoryid BIGINT, parentid BIGINT")
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "STRING": T.StringType(),
+    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "BOOLEAN": T.BooleanType(),
+}
 
-RUN_LOG = T.StructType.fromDDL("run_id STRING, run_timestamp TIMESTAMP, dataset_name STRING, total_records BIGINT, status STRING")
-RESULTS = T.StructType.fromDDL(
+
+def struct(columns: str) -> T.StructType:
+    """Schema from "name TYPE, ..." without needing a running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+EVENTS = struct("timestamp BIGINT, visitorid BIGINT, event STRING, itemid BIGINT, transactionid STRING")
+ITEM_PROPERTIES = struct("timestamp BIGINT, itemid BIGINT, property STRING, value STRING")
+CATEGORY_TREE = struct("categoryid BIGINT, parentid BIGINT")
+
+RUN_LOG = struct("run_id STRING, run_timestamp TIMESTAMP, dataset_name STRING, total_records BIGINT, status STRING")
+RESULTS = struct(
     "run_id STRING, rule_id STRING, rule_desc STRING, dimension STRING, severity STRING, status STRING,"
     " total_records BIGINT, failed_records BIGINT, failure_pct DOUBLE"
 )
-SUMMARY = T.StructType.fromDDL(
+SUMMARY = struct(
     "run_id STRING, dataset_name STRING, run_timestamp TIMESTAMP, quality_score DOUBLE, status STRING,"
     " pass_count INT, fail_count INT, warn_count INT,"
     " critical_failures INT, high_failures INT, medium_failures INT, low_failures INT,"
@@ -26,9 +38,9 @@ INVENTORY_DDL = (
 RULEBOOK_DDL = "rule_id STRING, rule_name STRING, category STRING, threshold DOUBLE, severity STRING"
 BRIDGE_DDL = "dataset_id STRING, rule_id STRING"
 
-INVENTORY = T.StructType.fromDDL(INVENTORY_DDL)
-RULEBOOK = T.StructType.fromDDL(RULEBOOK_DDL)
-TESTS = T.StructType.fromDDL(
+INVENTORY = struct(INVENTORY_DDL)
+RULEBOOK = struct(RULEBOOK_DDL)
+TESTS = struct(
     "test_id STRING, test_date DATE, dataset_id STRING, rule_id STRING, total_records BIGINT, pass_count BIGINT,"
     " fail_count BIGINT, failure_rate DOUBLE, control_effectiveness DOUBLE, status STRING"
 )
