@@ -77,6 +77,14 @@ def event_date(df: DataFrame, name: str) -> Column:
     return F.to_date(F.col(name))
 
 
+def wall_micros(time: Column) -> Column:
+    """Microseconds of the wall-clock reading since 1970, whatever the session time zone."""
+    day = F.unix_date(F.to_date(time)).cast("long") * 86_400_000_000
+    minutes = (F.hour(time) * 60 + F.minute(time)).cast("long") * 60_000_000
+    seconds = (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("long")
+    return day + minutes + seconds
+
+
 def scalar(df: DataFrame, agg: Column) -> Column:
     """One aggregate of ``df`` as a scalar subquery, usable inside other expressions."""
     return df.agg(agg.alias("v")).scalar()

@@ -146,7 +146,7 @@ def stacked_by_severity(tickets: DataFrame) -> DataFrame:
     bucket = F.when(c("status") == RESOLVED, "resolved").when(c("sla_breach"), "overdue").otherwise("on_track")
     late = (c("status") == RESOLVED) & F.coalesce(c("resolution_date") > c("sla_date"), F.lit(False))
     pivoted = tickets.withColumn("_b", bucket).withColumn("_late", late.cast("int")).groupBy("severity").pivot("_b", ["resolved", "overdue", "on_track"]).agg(
-        F.count("*").alias("n"), F.sum("_late").alias("late"))
+        F.count(F.lit(1)).alias("n"), F.sum("_late").alias("late"))
     return pivoted.select(
         "severity", *[F.coalesce(f"{b}_n", F.lit(0)).alias(b) for b in ("resolved", "overdue", "on_track")],
         F.coalesce("resolved_late", F.lit(0)).alias("resolved_late"))

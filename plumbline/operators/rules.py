@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import percent
+from ..functions.exprs import percent, wall_micros
 
 
 def row_rules(df: DataFrame, rules: dict[str, tuple[Column, Column | None]]) -> DataFrame:
@@ -115,7 +115,7 @@ def steady_arrival(rule: str, df: DataFrame, keys: list[Column], time: str, limi
     gaps are then measured between neighbouring slices. The result is exact while the
     window sorts slices instead of rows.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    micros = wall_micros(F.col(time))
     limit = limit_seconds * 1_000_000
     named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
