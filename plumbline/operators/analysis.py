@@ -210,15 +210,15 @@ def missing_tests(tests: DataFrame, bridge: DataFrame) -> DataFrame:
 def co_failures(tests: DataFrame) -> DataFrame:
     """Pairs of rules that fail on the same (dataset, day), with the share of common failures.
 
-    A (dataset, day) holds one row per rule, so the pairs inside it are bounded by the
-    rulebook. The failing rules of a day form one sorted array and the pairs are read off
-    it, which needs no self join of the history.
+    A (dataset, day) holds one row per rule, so its failing rules form a set bounded by the
+    rulebook. Equal sets are counted first; pairs are read off the distinct sets only.
     """
     fails = tests.filter(_fail())
     sets = fails.groupBy("dataset_id", "test_date").agg(F.sort_array(F.collect_set("rule_id")).alias("_rules"))
-    firsts = sets.select("_rules", F.posexplode("_rules").alias("_i", "rule_a"))
-    pairs = firsts.select("rule_a", F.explode(F.expr("slice(_rules, _i + 2, size(_rules))")).alias("rule_b"))
-    both = pairs.groupBy("rule_a", "rule_b").agg(F.count("*").alias("both_fail"))
+    sets = sets.groupBy("_rules").agg(F.count("*").alias("_times"))
+    firsts = sets.select("_rules", "_times", F.posexplode("_rules").alias("_i", "rule_a"))
+    pairs = firsts.select("rule_a", "_times", F.explode(F.expr("slice(_rules, _i + 2, size(_rules))")).alias("rule_b"))
+    both = pairs.groupBy("rule_a", "rule_b").agg(F.sum("_times").alias("both_fail"))
     single = fails.groupBy("rule_id").agg(F.count("*").alias("_n"))
     out = both.join(single.select(c("rule_id").alias("rule_a"), c("_n").alias("a_fails")), "rule_a").join(
         single.select(c("rule_id").alias("rule_b"), c("_n").alias("b_fails")), "rule_b")

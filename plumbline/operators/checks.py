@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import add_all, event_date, percent, scalar
+from ..functions.exprs import event_date, percent
 
 ALL_CHECKS = tuple(c[0] for c in V.EVENT_CHECKS)
 _META = {c[0]: c for c in V.EVENT_CHECKS}
@@ -102,7 +102,7 @@ def daily_counters(events: DataFrame, cfg: EventRules, by: list[str], rules) ->
     return events.groupBy(*by, event_date(events, cfg.time).alias("_day")).agg(*aggs)
 
 
-def _daily_findings(events, cfg, by, rules) -> DataFrame:
+def _daily_findings(events, cfg, by, rules, extra=()) -> DataFrame:
     days = daily_counters(events, cfg, by, rules)
     aggs = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in days.columns if c.startswith(("n_", "bad_"))]
     if "FRESH-001" in rules:
@@ -129,14 +129,13 @@ def _daily_findings(events, cfg, by, rules) -> DataFrame:
             total = {"COMP-004": "n_txn", "CONS-001": "n_txn", "CONS-002": "n_browse"}.get(rule, "n_rows")
             bad = "bad_COMP-004" if rule == "CONS-001" else f"bad_{rule}"
             found.append(_finding(rule, c(total), c(bad)))
-    return _rows(totals, by, found)
+    return _rows(totals, by, [*found, *extra])
 
 
 def _duplicate_ids(events, cfg, by) -> DataFrame:
-    per_id = (
-        events.filter((F.col("event") == cfg.transaction) & F.col("transactionid").isNotNull())
-        .groupBy(*by, "transactionid").agg(F.count("*").alias("n"))
-    )
+    # rows that are no transaction with an id share one null key, so no batch gets lost
+    counted = F.when(F.col("event") == cfg.transaction, F.col("transactionid"))
+    per_id = events.groupBy(*by, counted.alias("_id")).agg(F.count(counted).alias("n"))
     # every member of a repeated id counts
     agg = per_id.groupBy(*by).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("t"),
@@ -157,42 +156,42 @@ def _duplicate_rows(events, by) -> DataFrame:
 def _first_events(events, cfg, by) -> DataFrame:
     """Visitors whose first non-null event is a transaction.
 
-    Three minima per visitor decide all visitors but those whose first transaction
-    and first other event share a timestamp; with ``tie`` set, the smallest tie value
-    at each of the two minima decides these. The minima are plain timestamps, so the
-    aggregation stays a hash aggregation with map-side combine.
+    Two minima per visitor decide all visitors but those whose first transaction and
+    first other event share a timestamp. The minima are plain timestamps, so this stays
+    a hash aggregation with map-side combine. With ``tie`` set, the rows at the shared
+    timestamp of these few visitors settle the order; without such visitors the runtime
+    finds the join empty and skips its scan. Rows without visitor or time share one null
+    key: they only count as rows.
     """
     c = F.col
     txn = c("event") == cfg.transaction
     other = c("event").isNotNull() & ~txn
-    seen = events.filter(c("visitorid").isNotNull() & c(cfg.time).isNotNull())
-    keys = [*by, "visitorid"]
-    per_visitor = seen.groupBy(*keys).agg(
+    visitor = F.when(c(cfg.time).isNotNull(), c("visitorid"))
+    per_visitor = events.groupBy(*by, visitor.alias("visitorid")).agg(
+        F.count("*").alias("n"),
         F.min(F.when(txn, c(cfg.time))).alias("txn_at"),
         F.min(F.when(other, c(cfg.time))).alias("other_at"),
     )
-    tied = c("txn_at") == c("other_at")
-    sure = c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
+    known = c("visitorid").isNotNull()
+    sure = known & c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
+    agg = per_visitor.groupBy(*by).agg(
+        F.count_if(known).alias("visitors"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(sure).alias("f"))
     if cfg.tie:
-        ties = per_visitor.filter(tied).select(*keys, c("txn_at").alias(cfg.time))
-        resolved = (
-            seen.filter(c("event").isNotNull()).select(*keys, cfg.time, cfg.tie, "event")
+        keys = [*by, "visitorid"]
+        ties = per_visitor.filter(known & (c("txn_at") == c("other_at"))).select(*keys, c("txn_at").alias(cfg.time))
+        settled = (
+            events.filter(c("event").isNotNull()).select(*keys, cfg.time, cfg.tie, "event")
             .join(ties, [*keys, cfg.time])
             .groupBy(*keys).agg((F.min(F.when(txn, c(cfg.tie))) < F.min(F.when(other, c(cfg.tie)))).alias("first"))
             .groupBy(*by).agg(F.count_if("first").alias("f2"))
         )
-    agg = per_visitor.groupBy(*by).agg(F.count("*").alias("t"), F.count_if(sure).alias("f"))
-    if cfg.tie and by:
-        agg = agg.join(resolved, by, "left").withColumn("f", c("f") + F.coalesce("f2", F.lit(0)))
-    elif cfg.tie:
-        agg = agg.withColumn("f", c("f") + resolved.scalar())
-    if by:
-        # a batch without any valid visitor still reports its row count
-        rows = events.groupBy(*by).agg(F.count("*").alias("rows"))
-        agg = rows.join(agg, by, "left").select(*by, F.coalesce("t", "rows").alias("t"), F.coalesce("f", F.lit(0)).alias("f"))
-    else:
-        agg = agg.withColumn("t", F.when(c("t") == 0, scalar(events, F.count("*"))).otherwise(c("t")))
-    return _rows(agg, by, [_finding("CONS-003", c("t"), c("f"))])
+        if by:
+            agg = agg.join(settled, by, "left").withColumn("f", c("f") + F.coalesce("f2", F.lit(0)))
+        else:
+            agg = agg.withColumn("f", c("f") + settled.scalar())
+    # without any valid visitor the check counts the rows and finds nothing
+    total = F.when(c("visitors") > 0, c("visitors")).otherwise(c("rows"))
+    return _rows(agg, by, [_finding("CONS-003", total, c("f"))])
 
 
 def _orphan_items(events, items, by) -> DataFrame:
@@ -232,27 +231,26 @@ def run_checks(
     by, rules = list(by), list(rules)
     parts = []
     daily = [r for r in rules if r in _DAILY]
+    extra = []
+    if "RI-002" in rules:
+        orphans = _orphan_categories(items, categories)
+        if by:
+            # the same for every batch: two scalars on each batch's row
+            extra = [_finding("RI-002", orphans.select("total_records").scalar(), orphans.select("failed_records").scalar())]
+        else:
+            parts.append(orphans)
     if daily:
-        parts.append(_daily_findings(events, cfg, by, daily))
+        parts.append(_daily_findings(events, cfg, by, daily, extra))
+    elif extra:
+        parts.append(_rows(events.select(*by).distinct(), by, extra))
     if "UNIQ-001" in rules:
-        ids = _duplicate_ids(events, cfg, by)
-        parts.append(_complete(ids, events, by, "UNIQ-001"))
+        parts.append(_duplicate_ids(events, cfg, by))
     if "UNIQ-002" in rules:
         parts.append(_duplicate_rows(events, by))
     if "CONS-003" in rules:
         parts.append(_first_events(events, cfg, by))
     if "RI-001" in rules:
         parts.append(_orphan_items(events, items, by))
-    if "RI-002" in rules:
-        orphans = _orphan_categories(items, categories)
-        if by:
-            # the item check is the same for every batch: two scalars on the batch list
-            batches = events.groupBy(*by).agg(F.count("*").alias("_n"))
-            total = orphans.select("total_records").scalar()
-            failed = orphans.select("failed_records").scalar()
-            orphans = _rows(batches.select(*by, total.alias("t"), failed.alias("f")), by,
-                            [_finding("RI-002", F.col("t"), F.col("f"))])
-        parts.append(orphans)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
@@ -262,19 +260,6 @@ def run_checks(
     return found
 
 
-def _complete(found: DataFrame, events: DataFrame, by: list[str], rule: str) -> DataFrame:
-    """Give batches without a qualifying row their 0/0 result."""
-    if not by:
-        return found
-    batches = events.groupBy(*by).agg(F.count("*").alias("_n")).select(*by)
-    blank = _rows(batches, by, [_finding(rule, F.lit(0), F.lit(0))])
-    both = found.unionByName(blank)
-    rest = [c for c in found.columns if c not in (*by, "total_records", "failed_records")]
-    return both.groupBy(*by, *rest).agg(
-        F.sum("total_records").alias("total_records"), F.sum("failed_records").alias("failed_records")
-    ).select(*found.columns)
-
-
 def graded(found: DataFrame) -> DataFrame:
     """Add failure percentage and PASS / FAIL / WARN."""
     c = F.col

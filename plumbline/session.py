@@ -16,6 +16,8 @@ def build_session(master: str | None = None, app: str = "plumbline", **conf) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # do not record a Python call site per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -31,6 +33,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="plumbline-")
         return os.path.join(base, purpose)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -133,9 +133,9 @@ _BAD = {
     "CONS-002": "event IN ('view','addtocart') AND transactionid IS NOT NULL",
 }
 register("c19_failing_samples",
-         lambda spark, sf: checks.failing_samples(dirty_events(spark, sf).distinct(), 3, dirty_rules(), ["event_id"]).select("rule_id", "sample_no", *EVENT_COLS.split(", ")),
+         lambda spark, sf: checks.failing_samples(dirty_events(spark, sf), 3, dirty_rules(), ["event_id"]).select("rule_id", "sample_no", *EVENT_COLS.split(", ")),
          sql("SELECT rule_id, sample_no, " + EVENT_COLS + " FROM (SELECT *, (row_number() OVER (PARTITION BY rule_id ORDER BY event_id))::INT AS sample_no FROM ("
-             + " UNION ALL ".join(f"SELECT DISTINCT '{r}' AS rule_id, {EVENT_COLS} FROM ev WHERE {cond}" for r, cond in _BAD.items()) + ")) WHERE sample_no <= 3"))
+             + " UNION ALL ".join(f"SELECT '{r}' AS rule_id, {EVENT_COLS} FROM ev WHERE {cond}" for r, cond in _BAD.items()) + ")) WHERE sample_no <= 3"))
 
 # ---------------------------------------------------------------- scores
 DIM_COLS = [f"score_{d}" for d in V.DIMENSION_WEIGHTS]

@@ -117,14 +117,6 @@ register("s09_unique_run_ids",
          ev.sql("SELECT count(*) AS rows_stored, count(*) AS run_ids FROM lg", ev.DAILY, ev.LOG))
 
 
-def governance_tables(g: Governance) -> dict:
-    """All eight tables; the test history and the exceptions are written first and read back by the rest."""
-    return {
-        "data_inventory": g.inventory, "control_rulebook": g.rulebook, "control_test_results": g.tests, "exceptions": g.exceptions,
-        "dq_watchlist": g.watchlist, "remediation_tickets": g.tickets, "domain_trust_scores": g.trust, "governance_maturity": g.maturity,
-    }
-
-
 def _refresh(spark, sf):
     from plumbline.plans.governance import refresh
 
