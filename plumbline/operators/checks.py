@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import event_date, percent
+from ..functions.exprs import event_date, percent, scalar
 
 ALL_CHECKS = tuple(c[0] for c in V.EVENT_CHECKS)
 _META = {c[0]: c for c in V.EVENT_CHECKS}
@@ -158,27 +158,22 @@ def _first_events(events, cfg, by) -> DataFrame:
 
     Two minima per visitor decide all visitors but those whose first transaction and
     first other event share a timestamp. The minima are plain timestamps, so this stays
-    a hash aggregation with map-side combine. With ``tie`` set, the rows at the shared
-    timestamp of these few visitors settle the order; without such visitors the runtime
-    finds the join empty and skips its scan. Rows without visitor or time share one null
-    key: they only count as rows.
+    a hash aggregation with map-side combine (a minimum of structs would sort the rows).
+    With ``tie`` set, the rows at the shared timestamp of these few visitors settle the
+    order. Both uses of the per-visitor table read the same shuffle; when no visitor is
+    tied, the runtime finds the join empty and skips its scan.
     """
     c = F.col
     txn = c("event") == cfg.transaction
     other = c("event").isNotNull() & ~txn
-    visitor = F.when(c(cfg.time).isNotNull(), c("visitorid"))
-    per_visitor = events.groupBy(*by, visitor.alias("visitorid")).agg(
-        F.count("*").alias("n"),
-        F.min(F.when(txn, c(cfg.time))).alias("txn_at"),
-        F.min(F.when(other, c(cfg.time))).alias("other_at"),
-    )
-    known = c("visitorid").isNotNull()
-    sure = known & c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
-    agg = per_visitor.groupBy(*by).agg(
-        F.count_if(known).alias("visitors"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(sure).alias("f"))
+    keys = [*by, "visitorid"]
+    seen = events.filter(c("visitorid").isNotNull() & c(cfg.time).isNotNull())
+    per_visitor = seen.groupBy(*keys).agg(
+        F.min(F.when(txn, c(cfg.time))).alias("txn_at"), F.min(F.when(other, c(cfg.time))).alias("other_at"))
+    sure = c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
+    agg = per_visitor.groupBy(*by).agg(F.count("*").alias("visitors"), F.count_if(sure).alias("f"))
     if cfg.tie:
-        keys = [*by, "visitorid"]
-        ties = per_visitor.filter(known & (c("txn_at") == c("other_at"))).select(*keys, c("txn_at").alias(cfg.time))
+        ties = per_visitor.filter(c("txn_at") == c("other_at")).select(*keys, c("txn_at").alias(cfg.time))
         settled = (
             events.filter(c("event").isNotNull()).select(*keys, cfg.time, cfg.tie, "event")
             .join(ties, [*keys, cfg.time])
@@ -190,8 +185,13 @@ def _first_events(events, cfg, by) -> DataFrame:
         else:
             agg = agg.withColumn("f", c("f") + settled.scalar())
     # without any valid visitor the check counts the rows and finds nothing
-    total = F.when(c("visitors") > 0, c("visitors")).otherwise(c("rows"))
-    return _rows(agg, by, [_finding("CONS-003", total, c("f"))])
+    if by:
+        rows = events.groupBy(*by).agg(F.count("*").alias("rows"))
+        agg = rows.join(agg, by, "left")
+        total, failed = F.coalesce("visitors", "rows"), F.coalesce("f", F.lit(0))
+    else:
+        total, failed = F.when(c("visitors") > 0, c("visitors")).otherwise(scalar(events, F.count("*"))), c("f")
+    return _rows(agg, by, [_finding("CONS-003", total, failed)])
 
 
 def _orphan_items(events, items, by) -> DataFrame:

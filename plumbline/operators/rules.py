@@ -26,9 +26,9 @@ def row_rules(df: DataFrame, rules: dict[str, tuple[Column, Column | None]]) ->
 
 
 def _one(df: DataFrame, rule: str, total: Column, fail: Column) -> DataFrame:
-    return df.agg(
-        F.coalesce(total, F.lit(0)).cast("long").alias("total_records"), F.coalesce(fail, F.lit(0)).cast("long").alias("fail_count")
-    ).select(F.lit(rule).alias("rule_id"), "total_records", "fail_count")
+    counts = df.agg(F.coalesce(total, F.lit(0)).cast("long").alias("t"), F.coalesce(fail, F.lit(0)).cast("long").alias("f"))
+    item = F.struct(F.lit(rule).alias("rule_id"), F.col("t").alias("total_records"), F.col("f").alias("fail_count"))
+    return counts.select(F.inline(F.array(item)))
 
 
 # ---- predicates
@@ -121,7 +121,7 @@ def steady_arrival(rule: str, df: DataFrame, keys: list[Column], time: str, limi
     names = [f"_k{i}" for i in range(len(keys))]
     slices = (
         df.select(*named, micros.alias("_t"))
-        .groupBy(*names, F.floor(F.col("_t") / F.lit(limit)).alias("_slice"))
+        .groupBy(*names, (F.col("_t") - F.pmod(F.col("_t"), F.lit(limit))).alias("_slice"))
         .agg(F.count("*").alias("_n"), F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     )
     prev = F.lag("_last").over(Window.partitionBy(*names).orderBy("_slice"))
