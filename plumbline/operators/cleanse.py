@@ -84,6 +84,8 @@ class Corruptor:
 
     def _first(self, seed: int, n: int, of: DataFrame) -> Column:
         """True for the n keys with the smallest hash among the rows ``of``."""
+        if n <= 0:
+            return F.lit(False)
         mark = nth_smallest(of, n, key_hash(F.col(self.key), seed), self.key)
         mine = F.struct(key_hash(F.col(self.key), seed).alias("h"), F.col(self.key).cast("long").alias("k"))
         return F.coalesce(mine <= mark, F.lit(True))

@@ -54,6 +54,8 @@ def exact_sample(df: DataFrame, n: int, hash_value: Column, order: list[str]) ->
     histogram over hash slots finds the one slot in which the n-th row lies: lower
     slots are kept whole where they are, and only that slot is ranked.
     """
+    if n <= 0:
+        return df.limit(0)
     tagged = df.withColumn("_h", hash_value).withColumn("_slot", _slot(F.col("_h")))
     at, need = _cut(tagged, n)
     whole = tagged.filter(F.col("_slot") < at)
