@@ -23,11 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import event_date, percent, scalar
+from ..functions.exprs import event_date, percent, scalar, small_table
 
 ALL_CHECKS = tuple(c[0] for c in V.EVENT_CHECKS)
-_META = {c[0]: c for c in V.EVENT_CHECKS}
-_ORDER = {c[0]: i for i, c in enumerate(V.EVENT_CHECKS, 1)}
 _DAILY = ("COMP-001", "COMP-002", "COMP-003", "COMP-004", "VALID-001", "VALID-002", "VALID-003",
           "CONS-001", "CONS-002", "FRESH-001", "FRESH-002")
 
@@ -66,18 +64,17 @@ def row_conditions(cfg: EventRules) -> dict[str, Column]:
 
 
 def _finding(rule: str, total: Column, failed: Column, gap: Column | None = None) -> Column:
-    _, desc, dimension, severity = _META[rule]
-    gap = F.lit(None).cast("int") if gap is None else gap.cast("int")
+    gap = F.lit(None) if gap is None else gap
     return F.struct(
-        F.lit(_ORDER[rule]).alias("ordinal"),
-        F.lit(rule).alias("rule_id"),
-        F.lit(desc).alias("rule_desc"),
-        F.lit(dimension).alias("dimension"),
-        F.lit(severity).alias("severity"),
-        total.cast("long").alias("total_records"),
-        failed.cast("long").alias("failed_records"),
-        gap.alias("gap_days"),
-    )
+        F.lit(rule).alias("rule_id"), total.cast("long").alias("total_records"),
+        failed.cast("long").alias("failed_records"), gap.cast("int").alias("gap_days"))
+
+
+def _described(found: DataFrame) -> DataFrame:
+    """Add position, text, dimension and severity of each rule."""
+    rows = [(i, *c) for i, c in enumerate(V.EVENT_CHECKS, 1)]
+    ddl = "ordinal INT, rule_id STRING, rule_desc STRING, dimension STRING, severity STRING"
+    return found.join(small_table(found.sparkSession, ddl, rows), "rule_id")
 
 
 def _rows(df: DataFrame, by: list[str], findings: list[Column]) -> DataFrame:
@@ -254,7 +251,7 @@ def run_checks(
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    found = graded(found)
+    found = graded(_described(found))
     if run_id is not None:
         found = found.withColumn("run_id", F.lit(run_id))
     return found

@@ -12,6 +12,7 @@ from plumbline import schemas
 from plumbline.functions.exprs import small_table
 from plumbline.operators import controls, exceptions, remediation, trust, watchlist
 from plumbline.operators.controls import Control
+from plumbline.session import settle
 
 from .core import table
 
@@ -45,10 +46,15 @@ def _pick(values, index):
 
 
 class Governance:
-    """The governance tables of one scale factor, each derived lazily from the base tables."""
+    """The governance tables of one scale factor, each derived lazily from the base tables.
 
-    def __init__(self, spark: SparkSession, sf: str):
-        self.spark, self.sf = spark, sf
+    With ``settled`` the daily counters (one row per dataset and day) are written once to
+    the shared folder and read back: what builds several layers on them scans the fact
+    table exactly once, and a lost executor does not bring that scan back.
+    """
+
+    def __init__(self, spark: SparkSession, sf: str, settled: bool = False):
+        self.spark, self.sf, self.settled = spark, sf, settled
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf, name)
@@ -83,7 +89,8 @@ class Governance:
         per_key = per_key.withColumn("m_nulls", F.col("m_no_visitor") + F.col("m_no_event") + F.col("m_no_item")).withColumn(
             "m_dups", F.col("n_rows") - 1).drop("m_no_visitor", "m_no_event", "m_no_item")
         owners = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("dataset_id"))
-        return controls.roll_up(per_key.join(owners, "user_id"), ["dataset_id", "test_date"])
+        daily = controls.roll_up(per_key.join(owners, "user_id"), ["dataset_id", "test_date"])
+        return settle(daily, "daily-counters") if self.settled else daily
 
     @cached_property
     def tests(self) -> DataFrame:
@@ -99,7 +106,9 @@ class Governance:
 
     @cached_property
     def as_of(self):
-        """Latest event day: a one-column aggregate of the fact table."""
+        """Latest event day: from the settled counters, else a one-column aggregate of the fact table."""
+        if self.settled:
+            return self.counters.agg(F.max("test_date").alias("v")).scalar()
         return self.table("events").agg(F.max(F.to_date("ts")).alias("v")).scalar()
 
     @cached_property

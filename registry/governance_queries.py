@@ -20,8 +20,14 @@ EFF = "sum(CAST(round(control_effectiveness * 100) AS BIGINT)) / (100e0 * count(
 TEST_COLS = "test_id, test_date, dataset_id, rule_id, total_records, pass_count, fail_count, failure_rate, control_effectiveness, status"
 
 
-def add(name: str, query: Callable[[Governance], DataFrame], body: str | None, **more: str) -> None:
-    register(name, lambda spark, sf: query(Governance(spark, sf)), None if body is None else sql(body, **more))
+# queries that build several layers on the daily counters
+LAYERED = ("x06", "w07b", "w08", "r01", "r08", "r14", "t03", "t05", "t06", "t08", "t09", "t10", "t11", "t12", "d04", "d06", "d12", "d13",
+           "d25", "d27", "d31", "d37", "d41", "d42", "d44", "m0", "x04")
+
+
+def add(name: str, query: Callable[[Governance], DataFrame], body: str, **more: str) -> None:
+    settled = name.startswith(LAYERED)
+    register(name, lambda spark, sf: query(Governance(spark, sf, settled)), sql(body, **more))
 
 
 # ---------------------------------------------------------------- controls
