@@ -142,6 +142,40 @@ RULEBOOK = (
     ("TIME-007", "Risk Report Delivery SLA", "Timeliness", 100.0, "Critical"),
 )
 
+# what each control asserts, in words
+RULE_DESCRIPTIONS = {
+    "COMP-001": "Every record names its customer.",
+    "COMP-002": "Every transaction has an amount.",
+    "COMP-003": "The account number is filled in and not blank.",
+    "COMP-004": "Every exposure has a risk rating.",
+    "COMP-005": "Every product has its code.",
+    "COMP-006": "Every branch record has the branch code.",
+    "COMP-007": "Every ledger entry has an account code.",
+    "COMP-008": "Active customers have contact data.",
+    "ACCU-001": "Amounts are above zero.",
+    "ACCU-002": "Dates lie inside the operating period.",
+    "ACCU-003": "Ages lie inside the plausible range.",
+    "ACCU-004": "Scores lie inside the range of the model.",
+    "ACCU-005": "Rates lie inside the permitted range.",
+    "ACCU-006": "Codes follow the required pattern.",
+    "ACCU-007": "Header and detail totals agree within 0.01.",
+    "ACCU-008": "Active products have a price above zero.",
+    "CONS-001": "Every account belongs to a known customer.",
+    "CONS-002": "Every transaction belongs to a known account.",
+    "CONS-003": "Branch codes exist in the reference data.",
+    "CONS-004": "Product codes exist in the product master.",
+    "CONS-005": "The stored tier equals the tier implied by the value.",
+    "CONS-006": "Monthly totals of both sources agree within 0.1 %.",
+    "CONS-007": "A status agrees between the data sets that hold it.",
+    "TIME-001": "Entities were updated within 24 hours of the reference time.",
+    "TIME-002": "Consecutive arrivals are at most 15 minutes apart.",
+    "TIME-003": "The first daily record arrives before 08:00.",
+    "TIME-004": "The last daily record arrives within two hours of day end.",
+    "TIME-005": "The next record arrives by 07:00 of the following day.",
+    "TIME-006": "Records are renewed within a monthly cycle.",
+    "TIME-007": "Delivery follows by 09:00 of the next day.",
+}
+
 # ---- governance: default applicability of rules to datasets
 APPLICABLE_RULES = {
     "DS-001": ("COMP-001", "COMP-003", "COMP-008", "ACCU-003", "ACCU-006", "CONS-001", "CONS-007", "TIME-001"),

@@ -32,7 +32,8 @@ def default_inventory(spark: SparkSession) -> DataFrame:
 
 
 def default_rulebook(spark: SparkSession) -> DataFrame:
-    return small_table(spark, schemas.RULEBOOK_DDL, V.RULEBOOK)
+    rows = [(*r, V.RULE_DESCRIPTIONS[r[0]]) for r in V.RULEBOOK]
+    return small_table(spark, schemas.RULEBOOK_DDL + ", description STRING", rows)
 
 
 def applicability(spark: SparkSession, mapping=V.APPLICABLE_RULES) -> DataFrame:

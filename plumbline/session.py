@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -9,8 +10,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "plumbline", **conf) -> SparkSession:
-    """A session with adaptive execution and UTC; cluster sizing stays with the cluster."""
+SHUFFLE_BYTES = 256 * 1024 * 1024  # aimed size of one shuffle partition
+
+
+def build_session(master: str | None = None, app: str = "plumbline", input_tb: float | None = None, **conf) -> SparkSession:
+    """A session with adaptive execution and UTC.
+
+    ``input_tb`` sizes the shuffles for the data at hand: enough initial partitions that
+    one fits in memory even if a stage shuffles all of it; adaptive execution merges the
+    ones that turn out small. Further settings are given as ``spark__sql__name=value``.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -19,6 +28,10 @@ def build_session(master: str | None = None, app: str = "plumbline", **conf) ->
         # do not record a Python call site per column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    if input_tb:
+        initial = max(200, math.ceil(input_tb * 2**40 / SHUFFLE_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", initial).config(
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", SHUFFLE_BYTES)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

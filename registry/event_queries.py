@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline import fixed_values as V
+from plumbline.functions.exprs import wall_micros
 from plumbline.operators import checks, cleanse, runs, scoring
 from plumbline.operators.checks import run_checks
 from plumbline.session import settle
@@ -242,7 +243,7 @@ def item_properties(spark, sf):
     """Line items as a long history of item properties."""
     li = table(spark, sf, "lineitem")
     return li.select(
-        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("timestamp"), F.col("l_partkey").alias("itemid"),
+        (wall_micros(F.col("l_shipdate")) / 1000).cast("long").alias("timestamp"), F.col("l_partkey").alias("itemid"),
         F.when(F.col("l_returnflag") == "R", "available").otherwise("categoryid").alias("property"),
         F.when(F.col("l_quantity") == 13, "unknown").otherwise(F.concat(F.col("l_suppkey").cast("string"), F.lit(".0"))).alias("value"))
 
