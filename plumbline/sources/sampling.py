@@ -40,7 +40,8 @@ def _cut(tagged: DataFrame, n: int):
     cut = running.filter((F.col("_upto") >= n) & (before < n)).agg(
         F.struct(F.max("_slot").alias("slot"), (F.lit(n) - F.max(before)).alias("need")).alias("v")
     )
-    return F.coalesce(cut.select("v.slot").scalar(), F.lit(SLOTS)), cut.select("v.need").scalar()
+    found = cut.scalar()  # one subquery for both fields
+    return F.coalesce(found.getField("slot"), F.lit(SLOTS)), found.getField("need")
 
 
 def _slot(h: Column) -> Column:

@@ -32,7 +32,11 @@ def add(name: str, query: Callable[[Governance], DataFrame], body: str, **more:
 
 # ---------------------------------------------------------------- controls
 INV_COLS = "dataset_id, dataset_name, domain, category, owner, steward, refresh_frequency, source_system, regulatory_criticality"
-add("g01_inventory", lambda g: g.inventory.select(*INV_COLS.split(", ")), f"SELECT {INV_COLS} FROM inv")
+# the inventory with the rows measured for each data set
+add("g01_inventory",
+    lambda g: g.inventory.join(g.profile.groupBy("dataset_id").agg(F.sum("profiled_rows").alias("measured_rows")), "dataset_id", "left").fillna(0, ["measured_rows"])
+    .select(*INV_COLS.split(", "), "measured_rows"),
+    f"SELECT {INV_COLS}, coalesce(n, 0)::BIGINT AS measured_rows FROM inv LEFT JOIN (SELECT dataset_id, sum(profiled_rows) AS n FROM prof GROUP BY 1) USING (dataset_id)")
 add("g02_rulebook_in_use",
     lambda g: g.rulebook.join(g.tests.groupBy("rule_id").agg(F.count("*").alias("tests")), "rule_id", "left").fillna(0, ["tests"]),
     "SELECT rb.*, coalesce(tests, 0) AS tests FROM rb LEFT JOIN (SELECT rule_id, count(*) AS tests FROM gt GROUP BY 1) USING (rule_id)")
@@ -168,7 +172,9 @@ add("t12_maturity_gap", lambda g: trust.maturity_gap(g.maturity),
            unnest([control_coverage, automation_pct, sla_compliance, audit_completeness]) AS value, unnest([0.3e0, 0.3e0, 0.25e0, 0.15e0]) AS weight FROM mt0))""")
 
 # ---------------------------------------------------------------- analysis and dashboard
-add("d01_inventory_mix", lambda g: analysis.inventory_mix(g.inventory), "SELECT category, regulatory_criticality, count(*) AS dataset_count FROM inv GROUP BY 1, 2")
+# of the data sets that have test results
+add("d01_inventory_mix", lambda g: analysis.inventory_mix(g.inventory.join(g.bridge, "dataset_id", "left_semi")),
+    "SELECT category, regulatory_criticality, count(*) AS dataset_count FROM inv WHERE dataset_id IN (SELECT dataset_id FROM bridge) GROUP BY 1, 2")
 add("d02_fail_rate_by_dataset", lambda g: analysis.fail_rate_by_dataset(g.tests), f"SELECT dataset_id, count(*) AS tests_run, {FAILS} AS fails, round(100e0 * {FAILS} / count(*), 1) AS fail_rate_pct FROM gt GROUP BY 1")
 add("d03_status_mix", lambda g: analysis.status_mix(g.tests), "SELECT status, count(*) AS n, round(100e0 * count(*) / sum(count(*)) OVER (), 1) AS pct FROM gt GROUP BY 1")
 add("d04_trust_vs_watchlist", lambda g: analysis.trust_vs_watchlist(g.trust, g.watchlist),
