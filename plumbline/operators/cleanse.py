@@ -11,58 +11,55 @@ from .checks import EventRules
 
 
 def _stages(events: DataFrame, cfg: EventRules):
-    """Distinct rows with their copy count, and the surviving transactions per id.
-
-    The first transaction of an id is the minimum of a (time, tie, rest) struct: an
-    aggregation, so an id that holds a large share of the rows is reduced map-side
-    instead of being sorted in one window partition.
-    """
+    """Distinct rows with their copy count, the conditions of the steps, and the transactions to dedupe."""
     c = F.col
     distinct = events.groupBy(*events.columns).agg(F.count("*").alias("_copies"))
     is_txn = F.coalesce(c("event") == cfg.transaction, F.lit(False))
     bad_txn = is_txn & c("transactionid").isNull()
     valid = F.coalesce(c("event").isin(*cfg.valid_events), F.lit(False))
-    lead = [cfg.time] + ([cfg.tie] if cfg.tie else [])
-    rest = [x for x in events.columns if x not in lead]
-    firsts = (
-        distinct.filter(is_txn & c("transactionid").isNotNull() & valid)
-        .groupBy("transactionid")
-        .agg(F.min(F.struct(*lead, *rest)).alias("row"), F.count("*").alias("_members"))
-    )
     in_window = F.coalesce(c(cfg.time).between(F.lit(cfg.window_start), F.lit(cfg.window_end)), F.lit(False))
-    return distinct, is_txn, bad_txn, valid, firsts, in_window
+    txns = distinct.filter(is_txn & c("transactionid").isNotNull() & valid)
+    return distinct, is_txn, bad_txn, valid, in_window, txns
 
 
 def clean(events: DataFrame, cfg: EventRules) -> DataFrame:
     """Full-row dedupe, drop id-less transactions and unknown events, first row per
-    transaction id, observation window."""
-    distinct, is_txn, _, valid, firsts, in_window = _stages(events, cfg)
+    transaction id, observation window.
+
+    The first transaction of an id is the minimum of a (time, tie, rest) struct, rows
+    without time last: an aggregation, so an id that holds a large share of the rows is
+    reduced map-side instead of being sorted in one window partition.
+    """
+    distinct, is_txn, _, valid, in_window, txns = _stages(events, cfg)
+    lead = [cfg.time] + ([cfg.tie] if cfg.tie else [])
+    rest = [x for x in events.columns if x not in lead]
+    row = F.struct(F.col(cfg.time).isNull().alias("_untimed"), *lead, *rest)
+    firsts = txns.groupBy("transactionid").agg(F.min(row).alias("row"))
     browsing = distinct.filter(valid & ~is_txn & in_window).select(*events.columns)
-    txns = firsts.select("row.*").filter(in_window).select(*events.columns)
-    return browsing.unionByName(txns)
+    return browsing.unionByName(firsts.select("row.*").filter(in_window).select(*events.columns))
 
 
 def clean_audit(events: DataFrame, cfg: EventRules) -> DataFrame:
-    """Rows removed by each cleansing step, in step order."""
+    """Rows removed by each cleansing step, in step order.
+
+    Only the time of an id's first transaction matters here, so a plain minimum will do.
+    """
     c = F.col
-    distinct, is_txn, bad_txn, valid, firsts, in_window = _stages(events, cfg)
-    one = distinct.agg(
-        F.coalesce(F.sum(c("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-        F.count_if(bad_txn).alias("txn_without_id"),
-        F.count_if(~bad_txn & ~valid).alias("invalid_event"),
-        F.count_if(valid & ~is_txn & ~in_window).alias("w1"),
-    ).select(F.inline(F.array(
-        F.struct(F.lit(1).alias("step_no"), F.lit("duplicate_rows").alias("step"), c("duplicate_rows").alias("rows_removed")),
-        F.struct(F.lit(2).alias("step_no"), F.lit("txn_without_id").alias("step"), c("txn_without_id").alias("rows_removed")),
-        F.struct(F.lit(3).alias("step_no"), F.lit("invalid_event").alias("step"), c("invalid_event").alias("rows_removed")),
-        F.struct(F.lit(5).alias("step_no"), F.lit("out_of_window").alias("step"), c("w1").alias("rows_removed")),
-    )))
-    two = firsts.select("_members", "row.*").agg(
-        F.coalesce(F.sum(c("_members") - 1), F.lit(0)).alias("dup"), F.count_if(~in_window).alias("w2")
-    ).select(F.inline(F.array(
-        F.struct(F.lit(4).alias("step_no"), F.lit("duplicate_txn_id").alias("step"), c("dup").alias("rows_removed")),
-        F.struct(F.lit(5).alias("step_no"), F.lit("out_of_window").alias("step"), c("w2").alias("rows_removed")),
-    )))
+    distinct, is_txn, bad_txn, valid, in_window, txns = _stages(events, cfg)
+    firsts = txns.groupBy("transactionid").agg(F.min(cfg.time).alias(cfg.time), F.count("*").alias("_members"))
+
+    def steps(df, *items):
+        rows = [F.struct(F.lit(n).alias("step_no"), F.lit(name).alias("step"), c(col).alias("rows_removed")) for n, name, col in items]
+        return df.select(F.inline(F.array(*rows)))
+
+    one = steps(
+        distinct.agg(
+            F.coalesce(F.sum(c("_copies") - 1), F.lit(0)).alias("dup"), F.count_if(bad_txn).alias("no_id"),
+            F.count_if(~bad_txn & ~valid).alias("bad_event"), F.count_if(valid & ~is_txn & ~in_window).alias("outside")),
+        (1, "duplicate_rows", "dup"), (2, "txn_without_id", "no_id"), (3, "invalid_event", "bad_event"), (5, "out_of_window", "outside"))
+    two = steps(
+        firsts.agg(F.coalesce(F.sum(c("_members") - 1), F.lit(0)).alias("dup"), F.count_if(~in_window).alias("outside")),
+        (4, "duplicate_txn_id", "dup"), (5, "out_of_window", "outside"))
     return one.unionByName(two).groupBy("step_no", "step").agg(F.sum("rows_removed").alias("rows_removed"))
 
 

@@ -107,6 +107,16 @@ def test_clean_with_a_hot_transaction_id(spark, hot_rows):
     assert removed == len(hot_rows) - len(kept)
 
 
+def test_a_transaction_without_time_is_not_kept_over_a_timed_one(spark):
+    from plumbline.operators.checks import EventRules
+
+    rows = [(1, None, 1, "transaction", 1, "T"), (2, 1430438400000, 1, "transaction", 1, "T"), (3, None, 1, "transaction", 1, "U")]
+    df = spark.createDataFrame(rows, EVENT_DDL)
+    cfg = EventRules(tie="event_id")
+    assert [r.event_id for r in cleanse.clean(df, cfg).collect()] == [2]
+    assert {r.step: r.rows_removed for r in cleanse.clean_audit(df, cfg).collect() if r.rows_removed} == {"duplicate_txn_id": 1, "out_of_window": 1}
+
+
 @pytest.mark.parametrize("limit", [60, 900, 3600, 86400])
 def test_steady_arrival_equals_row_by_row(spark, limit):
     rnd = random.Random(limit)
