@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, url_rules
+from . import byte_bpe, exact_dedup, mixing, simhash, url_rules
 from .common import read
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.assign(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest_")).alias("text_sha256"))
@@ -22,11 +34,20 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {', '.join(str(r) for r in RULES)} AS r(host, path, action)")
     return url_rules.judge(read(spark, sf_dir, "pages"), rules)
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
+
+
 A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP2_SQL = f"""
@@ -46,5 +67,5 @@ f AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS verdict FROM u LEFT JOIN f USING (page_id)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op9_url_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op8_simhash, op9_url_rules, op10_byte_bpe)}
 ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_url_rules": OP9_SQL}
