@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, mixing, ngram_lm, simhash, token_counts, url_rules
+from . import byte_bpe, exact_dedup, language_id, mixing, ngram_lm, simhash, token_counts, url_rules
 from .common import read
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -42,6 +42,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -75,5 +79,5 @@ f AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS verdict FROM u LEFT JOIN f USING (page_id)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op5_lm_scores, op6_token_counts, op8_simhash, op9_url_rules, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op5_lm_scores, op6_token_counts, op7_language_id, op8_simhash, op9_url_rules, op10_byte_bpe)}
 ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_url_rules": OP9_SQL}
