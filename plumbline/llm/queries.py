@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, mixing, ngram_lm, simhash, token_counts, url_rules
+from . import byte_bpe, exact_dedup, language_id, mixing, ngram_lm, quality, simhash, token_counts, url_rules, vectors
 from .common import read
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -25,6 +25,10 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.assign(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest_")).alias("text_sha256"))
@@ -34,6 +38,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vectors.nearest(table.filter("vec_id % 100 = 0"), table)
+
+
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(read(spark, sf_dir, "documents"))
 
@@ -79,5 +88,8 @@ f AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS verdict FROM u LEFT JOIN f USING (page_id)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op3_mixing, op5_lm_scores, op6_token_counts, op7_language_id, op8_simhash, op9_url_rules, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (
+        op1_quality, op2_exact_dedup, op3_mixing, op4_nearest, op5_lm_scores, op6_token_counts, op7_language_id, op8_simhash, op9_url_rules,
+        op10_byte_bpe)}
 ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_url_rules": OP9_SQL}
