@@ -23,16 +23,35 @@ from pyspark.sql import functions as F
 from .common import bytes_of
 from .merges import Merges, from_ranks
 
-PIECES_HELD = 400_000
-TEXT_AT_ONCE = 8 << 20
+PIECES_HELD = 200_000
+TEXT_AT_ONCE = 2 << 20
+
+
+def last_tokens(merges: Merges, piece: bytes) -> list[int]:
+    """The unique last token of every byte prefix of ``piece``, from its first byte."""
+    last: list = [None] * len(piece)
+    tree, fit, known = merges.tree, merges.fit, merges.side_by_side.get
+    for start in range(len(piece)):
+        before, node, end = last[start - 1], tree, start
+        for byte in piece[start:]:
+            node = node.get(byte)
+            if node is None:
+                break
+            if last[end] is None:
+                token = node.get(-1)
+                if token is not None and (not start or (fit(before, token) if (fits := known((before, token))) is None else fits)):
+                    last[end] = token
+            end += 1
+    return last
 
 
 class PrefixTable:
-    """The unique last token of every byte prefix of one piece."""
+    """The unique last token of every byte prefix of one piece, kept for appends and edits."""
 
     def __init__(self, merges: Merges, piece: bytes = b""):
-        self.merges, self.piece, self.last = merges, piece, [None] * len(piece)
-        self._fill(0)
+        self.merges, self.piece, self.last = merges, piece, last_tokens(merges, piece)
+        self.reach = max(map(len, merges.tokens)) if merges.reach is None else merges.reach
+        merges.reach = self.reach
 
     def _fill(self, since: int, old: list | None = None, moved: int = 0) -> None:
         """Last tokens of the prefixes longer than ``since``; those up to it hold.
@@ -41,13 +60,11 @@ class PrefixTable:
         prefixes as long as the longest token has the last tokens the old table has there:
         the same bytes follow with the same choices, so all later entries are the old ones.
         """
-        piece, last, fit, n = self.piece, self.last, self.merges.fit, len(self.piece)
-        reach = self.merges_reach()
-        alike = 0
+        piece, last, fit, n, reach, alike = self.piece, self.last, self.merges.fit, len(self.piece), self.reach, 0
         for start in range(max(0, since - reach), n):
-            if start > since and old is not None:
+            if old is not None and start > since + reach:
                 was = start - moved
-                alike = alike + 1 if was > 0 and start > since + reach and old[was - 1] == last[start - 1] else 0
+                alike = alike + 1 if was > 0 and old[was - 1] == last[start - 1] else 0
                 if alike >= reach:
                     last[start:] = old[was:]
                     return
@@ -61,9 +78,6 @@ class PrefixTable:
                 if token is not None and end >= since and last[end] is None and (before is None or fit(before, token)):
                     last[end] = token
 
-    def merges_reach(self) -> int:
-        return _reach(self.merges)
-
     def append(self, more: bytes) -> None:
         since = len(self.piece)
         self.piece += more
@@ -72,21 +86,12 @@ class PrefixTable:
 
     def edit(self, start: int, end: int, new: bytes) -> None:
         """Replace the bytes from ``start`` to ``end``; the table before them is kept."""
-        old, moved = self.last, len(new) - (end - start)
-        self.piece = self.piece[:start] + new + self.piece[end:]
-        self.last = old[:start] + [None] * (len(self.piece) - start)
-        # entries can only meet the old ones after the new bytes
-        self._edge = start + len(new)
-        self._fill_edited(start, old, moved)
-
-    def _fill_edited(self, start: int, old: list, moved: int) -> None:
-        edge = self._edge
-        tail = self.piece
-        self.piece = tail[:edge]
-        rest = self.last[edge:]
-        self.last = self.last[:edge]
+        old, after, moved = self.last, self.piece[end:], len(new) - (end - start)
+        self.piece, self.last = self.piece[:start] + new, old[:start] + [None] * len(new)
         self._fill(start)
-        self.piece, self.last = tail, self.last + rest
+        edge = len(self.piece)  # from here on the bytes are the old ones
+        self.piece += after
+        self.last += [None] * len(after)
         self._fill(edge, old, moved)
 
     def tokens(self, length: int | None = None) -> list[int]:
@@ -99,11 +104,6 @@ class PrefixTable:
         return out[::-1]
 
 
-@lru_cache(maxsize=8)
-def _reach(merges: Merges) -> int:
-    return max(map(len, merges.tokens))
-
-
 @lru_cache(maxsize=2)
 def load(path: str) -> Merges:
     return from_ranks(path)
@@ -114,6 +114,8 @@ class Encoder:
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.split, self.held = merges, regex.compile(pattern).findall, {}
+        self.codes = {i: i.to_bytes(4, "little") for i in merges.text}
+        self.sizes = {i: len(b) for i, b in merges.text.items()}
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -125,7 +127,14 @@ class Encoder:
                     held.clear()
                 raw = piece.encode()
                 whole = self.merges.tokens.get(raw)
-                code = np.array(PrefixTable(self.merges, raw).tokens() if whole not in self.merges.rank else [whole], "<u4").tobytes()
+                if whole in self.merges.rank:
+                    code = self.codes[whole]
+                else:
+                    last, at, tokens = last_tokens(self.merges, raw), len(raw), []
+                    while at:
+                        tokens.append(self.codes[last[at - 1]])
+                        at -= self.sizes[last[at - 1]]
+                    code = b"".join(tokens[::-1])
                 if len(raw) <= 64:
                     held[piece] = code
             out.append(code)
@@ -181,9 +190,25 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "token_ids").mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, token_ids and decoded (the bytes of those tokens) in one pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(path, pattern)
+        for batch in batches:
+            texts = bytes_of(batch.column("text"))
+            for part in _batches(texts, TEXT_AT_ONCE):
+                ids = [made.ids(texts[i].decode()) for i in part]
+                back = [made.text(i) for i in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(part.start, len(part)), pa.array(ids, pa.binary()), pa.array(back, pa.binary())], ["doc_id", "token_ids", "decoded"])
+
+    schema = docs.select("doc_id", F.lit(b"").alias("token_ids"), F.lit(b"").alias("decoded")).schema
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    both = decode(encode(docs, path, pattern), path, pattern)
+    both = round_trip(docs, path, pattern)
     return both.select(
         "doc_id", (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -11,7 +11,7 @@ import base64
 import json
 
 SINGLE = -1  # rank of a byte: there from the start
-PAIRS_HELD = 1 << 21
+PAIRS_HELD = 1 << 19
 
 
 class Merges:
@@ -35,7 +35,8 @@ class Merges:
                 for byte in token:
                     node = node.setdefault(byte, {})
                 node[-1] = i
-        self._side_by_side: dict[tuple[int, int], bool] = {}
+        self.side_by_side: dict[tuple[int, int], bool] = {}
+        self.reach: int | None = None  # length of the longest token, once asked for
 
     def _tree(self, token: bytes) -> tuple[int, int, int] | None:
         """Rank and parts of the merge that makes a token; None if no merges make it."""
@@ -52,11 +53,11 @@ class Merges:
 
     def fit(self, a: int, b: int) -> bool:
         """Whether the encoding of a's bytes followed by b's is the two tokens a, b."""
-        known = self._side_by_side.get((a, b))
+        known = self.side_by_side.get((a, b))
         if known is None:
-            if len(self._side_by_side) >= PAIRS_HELD:
-                self._side_by_side.clear()
-            known = self._side_by_side[a, b] = self._fit(a, b)
+            if len(self.side_by_side) >= PAIRS_HELD:
+                self.side_by_side.clear()
+            known = self.side_by_side[a, b] = self._fit(a, b)
         return known
 
     def _fit(self, a: int, b: int) -> bool:
