@@ -54,6 +54,11 @@ EVENT_CHECKS = (
     ("RI-002", "every categoryid in item_properties must exist in category_tree", "referential_integrity", "high"),
 )
 
+# texts of the checks whose parameters they name
+WINDOW_TEXT = ("timestamp must fall within dataset observation window (", ")")
+GAP_TEXT = "no gap greater than {days} consecutive days with zero events"
+ALLOWED_TEXT = "event must be one of: "
+
 # ---- event quality: report texts per rule (rule id, business impact, recommendation)
 RULE_TEXTS = (
     ("COMP-001", "User behaviour cannot be attributed. Marketing and funnel reports become unreliable.",

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+CALENDAR_DAYS = (-719162, 2932896)  # 0001-01-01 to 9999-12-31, counted from 1970-01-01
+
+
 def rounded(x: Column, digits: int) -> Column:
     """Round a double half away from zero by scaling, as SQL engines on doubles do.
 
@@ -28,6 +31,18 @@ def percent(part: Column, whole: Column, digits: int | None = None, empty: float
     return F.when(whole > 0, value).otherwise(otherwise)
 
 
+def reaches(part: Column, whole: Column, threshold: Column, digits: int | None = None) -> Column:
+    """Whether ``part`` of ``whole`` is at least ``threshold`` percent, decided on the counts.
+
+    ``digits`` compares the percentage rounded to so many decimals instead, which lets a
+    few failures in many rows pass a 100 % threshold.
+    """
+    if digits is not None:
+        return percent(part, whole, digits, 100.0) >= threshold
+    exact = "decimal(38,6)"
+    return part.cast(exact) * 100 >= threshold.cast("decimal(9,6)") * whole
+
+
 def hundredths(rate: Column) -> Column:
     """A two-decimal percentage as a whole number of hundredths."""
     return F.round(rate * 100, 0).cast("long")
@@ -72,7 +87,9 @@ def add_all(cols) -> Column:
 def event_date(df: DataFrame, name: str) -> Column:
     """Calendar date (UTC) of an event-time column: epoch milliseconds or a timestamp."""
     if isinstance(df.schema[name].dataType, (T.LongType, T.DoubleType, T.IntegerType)):
-        days = F.floor(F.col(name) / F.lit(86400000)).cast("int")
+        # a time outside the calendar (say, nanoseconds taken for milliseconds) has no date
+        days = F.floor(F.col(name) / F.lit(86400000)).try_cast("int")
+        days = F.when(days.between(*CALENDAR_DAYS), days)
         return F.date_add(F.lit("1970-01-01").cast("date"), days)
     return F.to_date(F.col(name))
 

@@ -70,11 +70,25 @@ def _finding(rule: str, total: Column, failed: Column, gap: Column | None = None
         failed.cast("long").alias("failed_records"), gap.cast("int").alias("gap_days"))
 
 
-def _described(found: DataFrame) -> DataFrame:
-    """Add position, text, dimension and severity of each rule."""
+def _day_text(moment) -> Column:
+    """A window bound as a date: epoch milliseconds or a timestamp."""
+    value = moment if isinstance(moment, Column) else F.lit(moment)
+    if not isinstance(moment, Column) and isinstance(moment, (int, float)):
+        value = F.timestamp_millis(F.lit(int(moment)))
+    return F.date_format(value, "yyyy-MM-dd")
+
+
+def _described(found: DataFrame, cfg: EventRules) -> DataFrame:
+    """Add position, text, dimension and severity of each rule; texts name the parameters in use."""
     rows = [(i, *c) for i, c in enumerate(V.EVENT_CHECKS, 1)]
     ddl = "ordinal INT, rule_id STRING, rule_desc STRING, dimension STRING, severity STRING"
-    return found.join(small_table(found.sparkSession, ddl, rows), "rule_id")
+    told = found.join(small_table(found.sparkSession, ddl, rows), "rule_id")
+    head, tail = V.WINDOW_TEXT
+    window = F.concat(F.lit(head), _day_text(cfg.window_start), F.lit(" to "), _day_text(cfg.window_end), F.lit(tail))
+    gap = F.lit(V.GAP_TEXT.format(days=cfg.gap_days))
+    events = F.lit(V.ALLOWED_TEXT + ", ".join(cfg.valid_events))
+    rule = F.col("rule_id")
+    return told.withColumn("rule_desc", F.when(rule == "VALID-002", window).when(rule == "FRESH-002", gap).when(rule == "VALID-001", events).otherwise(F.col("rule_desc")))
 
 
 def _rows(df: DataFrame, by: list[str], findings: list[Column]) -> DataFrame:
@@ -251,7 +265,7 @@ def run_checks(
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    found = graded(_described(found))
+    found = graded(_described(found, cfg))
     if run_id is not None:
         found = found.withColumn("run_id", F.lit(run_id))
     return found

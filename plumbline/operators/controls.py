@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from .. import schemas
-from ..functions.exprs import percent, rounded, small_table
+from ..functions.exprs import percent, reaches, small_table
 
 
 @dataclass(frozen=True)
@@ -63,11 +63,12 @@ def roll_up(counters: DataFrame, keys: list[str]) -> DataFrame:
     return counters.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numeric])
 
 
-def test_results(counters: DataFrame, rulebook: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
+def test_results(counters: DataFrame, rulebook: DataFrame, bridge: DataFrame | None = None, compare_digits: int | None = None) -> DataFrame:
     """Long control-test rows from wide counters keyed (dataset_id, test_date).
 
     A rule without rows in scope gives no row. ``bridge`` keeps only mapped pairs.
-    Both the failure rate and the effectiveness come from the counts.
+    Both the failure rate and the effectiveness come from the counts, and so does the
+    status; ``compare_digits`` compares the rounded effectiveness instead.
     """
     rules = [c[: -len("__total")] for c in counters.columns if c.endswith("__total")]
     args = ", ".join(f"'{r}', `{r}__total`, `{r}__fail`" for r in rules)
@@ -86,15 +87,15 @@ def test_results(counters: DataFrame, rulebook: DataFrame, bridge: DataFrame | N
     )
     return (
         measured.join(rulebook.select("rule_id", "threshold"), "rule_id")
-        .withColumn("status", F.when(c("control_effectiveness") >= c("threshold"), "Pass").otherwise("Fail"))
+        .withColumn("status", F.when(reaches(c("pass_count"), c("total_records"), c("threshold"), compare_digits), "Pass").otherwise("Fail"))
         .select(*schemas.TESTS.fieldNames())
     )
 
 
 def reconcile(tests: DataFrame, rulebook: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Recompute the status from the threshold and compare with the stored one."""
+    """Recompute the status from counts and threshold and compare with the stored one."""
     c = F.col
-    again = F.when(c("control_effectiveness") >= c("threshold"), "Pass").otherwise("Fail")
+    again = F.when(reaches(c("pass_count"), c("total_records"), c("threshold")), "Pass").otherwise("Fail")
     return (
         tests.join(rulebook.select("rule_id", "rule_name", "category", "threshold"), "rule_id")
         .join(inventory.select("dataset_id", "dataset_name"), "dataset_id")

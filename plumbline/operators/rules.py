@@ -12,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import percent, wall_micros
+from ..functions.exprs import percent, reaches, wall_micros
+
+
+MONEY = "decimal(38,6)"  # amounts are summed as decimals of this type
 
 
 def row_rules(df: DataFrame, rules: dict[str, tuple[Column, Column | None]]) -> DataFrame:
@@ -66,13 +69,12 @@ def foreign_key(rule: str, child: DataFrame, key: str, parent: DataFrame, parent
 
 
 def totals_match(rule: str, header: DataFrame, key: str, amount: str, detail: DataFrame, detail_key: str,
-                 detail_amount: str, tolerance: float) -> DataFrame:
+                 detail_amount: str, tolerance: float, money: str = MONEY) -> DataFrame:
     """Per header row the detail amounts must add up within an absolute tolerance.
 
     Amounts are summed as decimals, so the outcome does not depend on row order.
     Headers without detail are outside the scope.
     """
-    money = "decimal(18,2)"
     sums = detail.groupBy(F.col(detail_key).alias("_k")).agg(F.sum(F.col(detail_amount).cast(money)).alias("_sum"))
     joined = header.select(F.col(key).alias("_k"), F.col(amount).cast(money).alias("_amount")).join(sums, "_k")
     ok = F.abs(F.col("_sum") - F.col("_amount")) <= F.lit(tolerance).cast(money)
@@ -80,9 +82,8 @@ def totals_match(rule: str, header: DataFrame, key: str, amount: str, detail: Da
 
 
 def periods_match(rule: str, left: DataFrame, left_date: str, left_amount: str, right: DataFrame, right_date: str,
-                  right_amount: str, share: float) -> DataFrame:
+                  right_amount: str, share: float, money: str = MONEY) -> DataFrame:
     """Monthly totals of two tables must agree within a relative tolerance (base: right)."""
-    money = "decimal(18,2)"
 
     def monthly(df, date, amount, name):
         return df.groupBy(F.trunc(F.col(date), "month").alias("_m")).agg(F.sum(F.col(amount).cast(money)).cast("double").alias(name))
@@ -174,7 +175,7 @@ def graded_rules(counts: DataFrame, rulebook: DataFrame) -> DataFrame:
         .withColumn("pass_count", c("total_records") - c("fail_count"))
         .withColumn("failure_rate", percent(c("fail_count"), c("total_records"), 2))
         .withColumn("control_effectiveness", percent(c("pass_count"), c("total_records"), 2, 100.0))
-        .withColumn("status", F.when(c("control_effectiveness") >= c("threshold"), "Pass").otherwise("Fail"))
+        .withColumn("status", F.when(reaches(c("pass_count"), c("total_records"), c("threshold")), "Pass").otherwise("Fail"))
         .select("rule_id", "rule_name", "category", "severity", "threshold", "total_records", "pass_count",
                 "fail_count", "failure_rate", "control_effectiveness", "status")
     )

@@ -2,47 +2,76 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 
-NULL_TOKEN = "NA"
+# texts that usual CSV readers take for null
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def _scan(spark: SparkSession, paths: list[str], header: tuple, schema: T.StructType, required, tokens) -> DataFrame:
+    """Files that share one header: columns by name, fields converted one by one."""
+    missing = [c for c in required if c not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are missing in {paths[0]}, which has {list(header)}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = spark.read.schema(text).option("header", True).option("enforceSchema", True).csv(paths)
+    out = []
+    for field in schema.fields:
+        if field.name not in header:
+            out.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        raw = F.col(f"`{field.name}`")
+        value = F.when(~F.trim(raw).isin(*tokens), raw)
+        if isinstance(field.dataType, T.LongType):
+            # plain integers keep all 19 digits; only the "12.0" spelling goes through double
+            value = F.trim(value)
+            value = F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
+        elif not isinstance(field.dataType, T.StringType):
+            value = F.trim(value).try_cast(field.dataType)
+        out.append(value.alias(field.name))
+    return df.select(*out)
+
 
+def read_table(spark: SparkSession, paths, schema: T.StructType, fmt: str = "csv", required=None, null_tokens=NULL_TOKENS) -> DataFrame:
+    """Scan one or many files with a declared schema; columns are found by their header names.
 
-def read_table(spark: SparkSession, paths, schema: T.StructType, fmt: str = "csv") -> DataFrame:
-    """Scan one or many files with a declared schema; header names are trimmed.
+    Paths may differ in the order of their columns (files under one path share it):
+    those with one header are scanned together and the scans are united by name. Header names may be quoted and are
+    trimmed. ``required`` columns (by default all) must be there, else a ValueError.
 
     Numeric fields may be written as ``12`` or ``12.0`` (files that went through a
     floating-point column), so a CSV is scanned as text and each field converted with
-    ``try_cast``: an unreadable number becomes null instead of failing the job. Empty
-    fields are null.
+    ``try_cast``: an unreadable number becomes null instead of failing the job. Fields
+    that equal a null token after trimming are null.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt != "csv":
         df = spark.read.schema(schema).format(fmt).load(paths)
         return df.toDF(*[c.strip() for c in df.columns])
-    header = [c.strip() for c in spark.read.text(paths[0]).first()[0].split(",")]
-    known = {f.name: f for f in schema.fields}
-    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = (
-        spark.read.schema(text).option("header", True).option("enforceSchema", True)
-        .option("nullValue", NULL_TOKEN).csv(paths)
-    )
-    out = []
-    for field in schema.fields:
-        if field.name not in header:
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif isinstance(field.dataType, T.LongType):
-            # plain integers keep all 19 digits; only the "12.0" spelling goes through double
-            value = F.trim(F.col(field.name))
-            out.append(F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint")).alias(field.name))
-        elif isinstance(field.dataType, T.StringType):
-            out.append(F.col(field.name))
-        else:
-            out.append(F.trim(F.col(field.name)).try_cast(field.dataType).alias(field.name))
-    return df.select(*out)
+    required = schema.fieldNames() if required is None else required
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        groups.setdefault(_header(spark, path), []).append(path)
+    out = None
+    for header, files in groups.items():
+        part = _scan(spark, files, header, schema, required, null_tokens)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _header(spark: SparkSession, path: str) -> tuple:
+    """Column names of the first line under a path, read as CSV."""
+    line = spark.read.text(path).first()
+    if line is None:
+        return ()
+    names = next(csv.reader([line[0]]))
+    return tuple(n.strip().strip("\ufeff") for n in names)
 
 
 def load_events(spark: SparkSession, full: str, sample: str | None = None, path: str | None = None, use_sample: bool = True) -> DataFrame:

@@ -8,23 +8,18 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from ..functions.exprs import scalar
 
-HASH_RANGE = 2147483647  # 2^31 - 1
-SLOTS = 65536
+HASH_RANGE = 1 << 60
+SLOTS = 16  # bits of a slot; a slot is split by as many bits again
 
 
 def key_hash(key: Column, seed: int = V.SEED) -> Column:
-    """Uniform integer in [0, 2^31 - 1) from an integer key (two multiplicative rounds).
+    """Uniform integer in [0, 2^60) from a key: the first 15 hex digits of an MD5.
 
-    Plain integer arithmetic: the same picks can be computed by any SQL engine.
+    Every bit of key and seed reaches every bit of the result, so picks of different
+    seeds are independent; other SQL engines compute the same picks.
     """
-    p = F.lit(HASH_RANGE).cast("long")
-    first = F.pmod(F.pmod(key.cast("long"), p) * F.lit(48271) + F.lit(seed * 7919), p)
-    return F.pmod(first * F.lit(69621) + F.lit(seed), p)
-
-
-def row_hash(df: DataFrame, seed: int = V.SEED) -> Column:
-    """The same range from all columns of a row, for data without an integer key."""
-    return F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(HASH_RANGE).cast("long"))
+    text = F.concat(F.lit(f"{seed}:"), key.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def picked(hash_value: Column, share: float) -> Column:
@@ -32,45 +27,59 @@ def picked(hash_value: Column, share: float) -> Column:
     return hash_value < F.lit(int(HASH_RANGE * share))
 
 
-def _cut(tagged: DataFrame, n: int):
+def _cut(tagged: DataFrame, n: Column):
     """The hash slot holding the n-th row, and how many of its rows are still needed."""
     histogram = tagged.groupBy("_slot").agg(F.count("*").alias("_n"))
     running = histogram.withColumn("_upto", F.sum("_n").over(Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)))
     before = F.col("_upto") - F.col("_n")
     cut = running.filter((F.col("_upto") >= n) & (before < n)).agg(
-        F.struct(F.max("_slot").alias("slot"), (F.lit(n) - F.max(before)).alias("need")).alias("v")
+        F.struct(F.max("_slot").alias("slot"), (F.max(n) - F.max(before)).alias("need")).alias("v")
     )
     found = cut.scalar()  # one subquery for both fields
-    return F.coalesce(found.getField("slot"), F.lit(SLOTS)), found.getField("need")
+    return F.coalesce(found.getField("slot"), F.lit(1 << SLOTS)), found.getField("need")
+
+
+def _tagged(df: DataFrame, hash_value: Column) -> DataFrame:
+    """The hash and its first and second group of bits."""
+    tagged = df.withColumn("_h", hash_value)
+    sub = F.shiftright("_h", 60 - 2 * SLOTS).bitwiseAND(F.lit((1 << SLOTS) - 1))
+    return tagged.withColumn("_slot", F.shiftright("_h", 60 - SLOTS).cast("int")).withColumn("_sub", sub.cast("int"))
 
 
-def _slot(h: Column) -> Column:
-    return F.floor(h / F.lit(HASH_RANGE // SLOTS + 1)).cast("int")
+def _cuts(tagged: DataFrame, n: int):
+    """Slot and slot inside it with the n-th row, and how many rows of the inner one are needed."""
+    at, need = _cut(tagged, F.lit(n))
+    inner = tagged.filter(F.col("_slot") == at).drop("_slot").withColumnRenamed("_sub", "_slot")
+    sub_at, sub_need = _cut(inner, need)
+    return at, sub_at, sub_need
 
 
 def exact_sample(df: DataFrame, n: int, hash_value: Column, order: list[str]) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: those with the smallest hash, ties by ``order``.
 
     A plain ``orderBy(hash).limit(n)`` sends n rows of every task to one task. Here a
-    histogram over hash slots finds the one slot in which the n-th row lies: lower
-    slots are kept whole where they are, and only that slot is ranked.
+    histogram over hash slots finds the one slot in which the n-th row lies, a second
+    one the part of it: what is lower is kept where it is, and only that part, one row
+    in 2^32, is ranked. Rows that repeat one key have one hash and are ranked together.
     """
     if n <= 0:
         return df.limit(0)
-    tagged = df.withColumn("_h", hash_value).withColumn("_slot", _slot(F.col("_h")))
-    at, need = _cut(tagged, n)
-    whole = tagged.filter(F.col("_slot") < at)
-    w = Window.partitionBy("_slot").orderBy("_h", *order)
-    partial = tagged.filter(F.col("_slot") == at).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= need).drop("_rn")
-    return whole.unionByName(partial).drop("_h", "_slot")
+    tagged = _tagged(df, hash_value)
+    at, sub_at, need = _cuts(tagged, n)
+    slot, sub = F.col("_slot"), F.col("_sub")
+    whole = tagged.filter((slot < at) | ((slot == at) & (sub < sub_at)))
+    w = Window.partitionBy("_slot", "_sub").orderBy("_h", *order)
+    partial = tagged.filter((slot == at) & (sub == sub_at)).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= need).drop("_rn")
+    return whole.unionByName(partial).drop("_h", "_slot", "_sub")
 
 
 def nth_smallest(df: DataFrame, n: int, hash_value: Column, key: str) -> Column:
     """The n-th smallest (hash, key) of ``df`` as a scalar struct; null when n exceeds the rows."""
-    tagged = df.select(hash_value.alias("_h"), F.col(key).cast("long").alias("_k")).withColumn("_slot", _slot(F.col("_h")))
-    at, need = _cut(tagged, n)
-    w = Window.partitionBy("_slot").orderBy("_h", "_k")
-    row = tagged.filter(F.col("_slot") == at).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == need)
+    tagged = _tagged(df.select(F.col(key).cast("long").alias("_k"), hash_value.alias("_hash")), F.col("_hash")).drop("_hash")
+    at, sub_at, need = _cuts(tagged, n)
+    w = Window.partitionBy("_slot", "_sub").orderBy("_h", "_k")
+    there = tagged.filter((F.col("_slot") == at) & (F.col("_sub") == sub_at))
+    row = there.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == need)
     return scalar(row, F.max(F.struct(F.col("_h").alias("h"), F.col("_k").alias("k"))))
 
 

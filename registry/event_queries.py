@@ -75,6 +75,7 @@ def check_select(rule: str, src: str) -> str:
 def checks_cte(src: str, rules=checks.ALL_CHECKS) -> str:
     parts = []
     for i, (rule, desc, dim, sev) in enumerate(V.EVENT_CHECKS, 1):
+        desc = "timestamp must fall within dataset observation window (2024-01-01 to 2024-01-30)" if rule == "VALID-002" else desc
         if rule in rules:
             parts.append(f"SELECT {i} AS ordinal, '{rule}' AS rule_id, '{desc}' AS rule_desc, '{dim}' AS dimension, '{sev}' AS severity, k, total_records, failed_records, gap_days FROM ({check_select(rule, src)})")
     union = "\nUNION ALL ".join(parts)
@@ -259,7 +260,7 @@ P = sampling.HASH_RANGE
 
 
 def hash_sql(key: str, seed: int = V.SEED) -> str:
-    return f"((((({key} % {P}) * 48271 + {seed * 7919}) % {P}) * 69621 + {seed}) % {P})"
+    return f"CAST('0x' || substr(md5('{seed}:' || {key}), 1, 15) AS BIGINT)"
 
 
 def share_sql(seed: int, share: float, key: str = "event_id") -> str:

@@ -223,7 +223,7 @@ CTES: dict[str, str] = {
     "gt": """SELECT 'TEST-' || strftime(test_date, '%Y%m%d') || '-' || dataset_id || '-' || rule_id AS test_id, test_date, dataset_id, rule_id, total_records,
         total_records - fail_count AS pass_count, fail_count, round(100e0 * fail_count / total_records, 2) AS failure_rate,
         round(100e0 * (total_records - fail_count) / total_records, 2) AS control_effectiveness,
-        CASE WHEN round(100e0 * (total_records - fail_count) / total_records, 2) >= threshold THEN 'Pass' ELSE 'Fail' END AS status
+        CASE WHEN CAST(total_records - fail_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END AS status
         FROM cells JOIN rb USING (rule_id)""",
     "prof": """SELECT dataset_id, test_date, sum(n) * 3 AS cells, sum(nulls) AS null_cells, sum(n) AS profiled_rows, sum(n - 1) AS dup_rows FROM (
         SELECT c_nationkey AS dataset_id, CAST(ts AS DATE) AS test_date, user_id, event_type, count(*) AS n,

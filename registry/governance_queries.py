@@ -48,10 +48,10 @@ add("g04_lookup",
 add("g05_control_tests", lambda g: g.tests, f"SELECT {TEST_COLS} FROM gt")
 add("g06_status_recomputed",
     lambda g: controls.reconcile(g.tests, g.rulebook, g.inventory).select("test_id", "dataset_name", "rule_name", "category", "threshold", "status", "status_recomputed", "reconciled"),
-    "SELECT test_id, dataset_name, rule_name, rb.category, threshold, status, CASE WHEN control_effectiveness >= threshold THEN 'Pass' ELSE 'Fail' END AS status_recomputed, "
-    "status = CASE WHEN control_effectiveness >= threshold THEN 'Pass' ELSE 'Fail' END AS reconciled FROM gt JOIN rb USING (rule_id) JOIN inv USING (dataset_id)")
+    "SELECT test_id, dataset_name, rule_name, rb.category, threshold, status, CASE WHEN CAST(pass_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END AS status_recomputed, "
+    "status = CASE WHEN CAST(pass_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END AS reconciled FROM gt JOIN rb USING (rule_id) JOIN inv USING (dataset_id)")
 add("g07_status_mismatches", lambda g: controls.mismatches(controls.reconcile(g.tests, g.rulebook, g.inventory)),
-    "SELECT count(*) AS tests, count(*) FILTER (WHERE status <> CASE WHEN control_effectiveness >= threshold THEN 'Pass' ELSE 'Fail' END) AS mismatches FROM gt JOIN rb USING (rule_id)")
+    "SELECT count(*) AS tests, count(*) FILTER (WHERE status <> CASE WHEN CAST(pass_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END) AS mismatches FROM gt JOIN rb USING (rule_id)")
 
 # ---------------------------------------------------------------- exceptions
 EX_COLS = ", ".join(exceptions.EXCEPTION_COLUMNS)

@@ -20,7 +20,7 @@ RULEBOOK = "rb AS (SELECT * FROM (VALUES " + ", ".join(f"('{r}', '{n}', '{cat}',
 def graded(counts: str, prefix: str = "") -> str:
     """SQL that grades (rule_id, total_records, fail_count) rows."""
     return (f"WITH {RULEBOOK}{', ' + prefix if prefix else ''}, cnt AS ({counts}) "
-            "SELECT *, CASE WHEN control_effectiveness >= threshold THEN 'Pass' ELSE 'Fail' END AS status FROM ("
+            "SELECT *, CASE WHEN CAST(pass_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END AS status FROM ("
             "SELECT rule_id, rule_name, category, severity, threshold, total_records, total_records - fail_count AS pass_count, fail_count, "
             "CASE WHEN total_records > 0 THEN round(100e0 * fail_count / total_records, 2) ELSE 0e0 END AS failure_rate, "
             "CASE WHEN total_records > 0 THEN round(100e0 * (total_records - fail_count) / total_records, 2) ELSE 100e0 END AS control_effectiveness FROM cnt JOIN rb USING (rule_id))")
@@ -75,7 +75,7 @@ for _rule, (_tab, _, _, _ok, _scope) in ROW_RULES.items():
 
 FK = "SELECT '{r}' AS rule_id, count(*) AS total_records, count(*) FILTER (WHERE {k} IS NULL OR {k} NOT IN (SELECT {pk} FROM {p})) AS fail_count FROM {t}"
 add(_key("ACCU-007"), lambda s, sf: rules.totals_match("ACCU-007", table(s, sf, "orders"), "o_orderkey", "o_totalprice", table(s, sf, "lineitem"), "l_orderkey", "l_extendedprice", 0.01),
-    "SELECT 'ACCU-007' AS rule_id, count(*) AS total_records, count(*) FILTER (WHERE abs(s - CAST(o_totalprice AS DECIMAL(18,2))) > 0.01) AS fail_count FROM orders JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey")
+    "SELECT 'ACCU-007' AS rule_id, count(*) AS total_records, count(*) FILTER (WHERE abs(s - CAST(o_totalprice AS DECIMAL(38,6))) > 0.01) AS fail_count FROM orders JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS s FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey")
 add(_key("CONS-001"), lambda s, sf: rules.foreign_key("CONS-001", table(s, sf, "orders"), "o_custkey", table(s, sf, "customer"), "c_custkey"), FK.format(r="CONS-001", k="o_custkey", pk="c_custkey", p="customer", t="orders"))
 add(_key("CONS-002"), lambda s, sf: rules.foreign_key("CONS-002", table(s, sf, "lineitem"), "l_orderkey", table(s, sf, "orders"), "o_orderkey"), FK.format(r="CONS-002", k="l_orderkey", pk="o_orderkey", p="orders", t="lineitem"))
 add(_key("CONS-003"), lambda s, sf: rules.foreign_key("CONS-003", table(s, sf, "supplier"), "s_nationkey", table(s, sf, "nation"), "n_nationkey"), FK.format(r="CONS-003", k="s_nationkey", pk="n_nationkey", p="nation", t="supplier"))
@@ -83,8 +83,8 @@ add(_key("CONS-004"), lambda s, sf: rules.foreign_key("CONS-004", table(s, sf, "
     FK.format(r="CONS-004", k="l_partkey", pk="p_partkey", p="part WHERE p_partkey % 10 <> 7", t="lineitem"))
 add(_key("CONS-006"), lambda s, sf: rules.periods_match("CONS-006", table(s, sf, "lineitem"), "l_shipdate", "l_extendedprice", table(s, sf, "orders"), "o_orderdate", "o_totalprice", 0.001),
     """SELECT 'CONS-006' AS rule_id, count(*) AS total_records, count(*) FILTER (WHERE NOT coalesce(abs(l - o) / o <= 0.001e0, false)) AS fail_count FROM
-       (SELECT date_trunc('month', l_shipdate)::DATE AS m, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS l FROM lineitem GROUP BY 1) FULL JOIN
-       (SELECT date_trunc('month', o_orderdate)::DATE AS m, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS o FROM orders GROUP BY 1) USING (m)""")
+       (SELECT date_trunc('month', l_shipdate)::DATE AS m, CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE) AS l FROM lineitem GROUP BY 1) FULL JOIN
+       (SELECT date_trunc('month', o_orderdate)::DATE AS m, CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) AS o FROM orders GROUP BY 1) USING (m)""")
 add(_key("CONS-007"), lambda s, sf: rules.status_agrees("CONS-007", table(s, sf, "orders"), "o_orderkey", c("o_orderstatus") == "F", table(s, sf, "lineitem"), "l_orderkey", c("l_linestatus") == "F"),
     "SELECT 'CONS-007' AS rule_id, count(*) AS total_records, count(*) FILTER (WHERE (o_orderstatus = 'F') <> a) AS fail_count FROM orders JOIN (SELECT l_orderkey, bool_and(l_linestatus = 'F') AS a FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey")
 add(_key("TIME-001"), lambda s, sf: rules.recent_enough("TIME-001", table(s, sf, "events"), "user_id", "ts", table(s, sf, "events").agg(F.max("ts").alias("v")).scalar(), "24 HOURS"),
