@@ -155,6 +155,11 @@ def numbered(df: DataFrame, name: str, fmt: str, bucket: list[str], order: list)
     )
 
 
+def known_by(tests: DataFrame, as_of, column: str = "test_date") -> DataFrame:
+    """Only what was known at the reference date; all rows when that is the latest date."""
+    return tests if as_of is None else tests.filter(F.col(column) <= as_of_date(tests, as_of, column))
+
+
 def as_of_date(tests: DataFrame, as_of, column: str = "test_date") -> Column:
     """The reference date: given, or the latest date of the table as a scalar subquery."""
     if as_of is None:

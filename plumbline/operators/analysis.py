@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import as_of_date, hundredths, percent, ranked, rounded
+from ..functions.exprs import as_of_date, hundredths, known_by, percent, ranked, rounded
 
 c = F.col
 CRITICALITY_RANK = {"High": 0, "Medium": 1, "Low": 2}
@@ -31,7 +31,7 @@ def _mean(rate: str) -> Column:
 
 
 def recent(tests: DataFrame, as_of=None, days: int = V.RECENT_DAYS) -> DataFrame:
-    return tests.filter(c("test_date") >= F.date_sub(as_of_date(tests, as_of), days))
+    return known_by(tests, as_of).filter(c("test_date") >= F.date_sub(as_of_date(tests, as_of), days))
 
 
 def tests_and_fails(tests: DataFrame, *keys) -> DataFrame:
@@ -109,7 +109,7 @@ def mean_effectiveness_windows(tests: DataFrame, as_of=None) -> DataFrame:
         inside = c("test_date") >= F.date_sub(end, days)
         return rounded(F.try_divide(F.sum(F.when(inside, units)), F.lit(100.0) * F.count_if(inside)), 1)
 
-    return tests.agg(mean(7).alias("avg_effectiveness_7d"), mean(30).alias("avg_effectiveness_30d"))
+    return known_by(tests, as_of).agg(mean(7).alias("avg_effectiveness_7d"), mean(30).alias("avg_effectiveness_30d"))
 
 
 def latest_day(tests: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def driver_rules(tests: DataFrame, inventory: DataFrame, as_of=None, top: int =
     cut = F.date_sub(as_of_date(tests, as_of), V.TREND_SPLIT_DAYS)
     early = c("test_date") <= cut
     units = hundredths(c("control_effectiveness"))
-    per_pair = tests.groupBy("dataset_id", "rule_id").agg(
+    per_pair = known_by(tests, as_of).groupBy("dataset_id", "rule_id").agg(
         F.coalesce(F.sum(F.when(early, units)), F.lit(0)).alias("_eh"), F.count_if(early).alias("_en"),
         F.coalesce(F.sum(F.when(~early, units)), F.lit(0)).alias("_rh"), F.count_if(~early).alias("_rn"))
     g = per_pair.join(inventory.select("dataset_id", "domain"), "dataset_id").groupBy("domain", "rule_id").agg(

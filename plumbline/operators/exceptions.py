@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import as_of_date, hundredths, numbered, percent, rounded
+from ..functions.exprs import as_of_date, hundredths, known_by, numbered, percent, rounded
 
 
 def pair_states(tests: DataFrame, as_of=None, recent_days: int = V.RECENT_DAYS, last: int = V.REPEAT_LAST_TESTS) -> DataFrame:
@@ -16,6 +16,7 @@ def pair_states(tests: DataFrame, as_of=None, recent_days: int = V.RECENT_DAYS,
     partitioning. A window partition holds one row per test day of a pair.
     """
     start = F.date_sub(as_of_date(tests, as_of), recent_days)
+    tests = known_by(tests, as_of)
     c = F.col
     w = Window.partitionBy("dataset_id", "rule_id").orderBy(c("test_date").desc())
     fails = c("status") == "Fail"

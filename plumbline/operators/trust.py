@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import add_all, as_of_date, banded, hundredths, percent, rounded, scalar
+from ..functions.exprs import add_all, as_of_date, banded, hundredths, known_by, percent, rounded, scalar
 
 
 def dataset_effectiveness(tests: DataFrame, as_of=None, recent_days: int | None = V.RECENT_DAYS) -> DataFrame:
     """Additive effectiveness sums per dataset over the recent window (both ends inclusive)."""
+    known = known_by(tests, as_of)
     if recent_days is not None:
-        tests = tests.filter(F.col("test_date") >= F.date_sub(as_of_date(tests, as_of), recent_days))
-    return tests.groupBy("dataset_id").agg(
+        known = known.filter(F.col("test_date") >= F.date_sub(as_of_date(tests, as_of), recent_days))
+    return known.groupBy("dataset_id").agg(
         F.sum(hundredths(F.col("control_effectiveness"))).alias("eff_hundredths"),
         F.count("*").alias("eff_tests"),
         F.count_if(F.col("status") == "Pass").alias("passes"),

@@ -6,19 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import add_all, as_of_date, hundredths, numbered, rounded
+from ..functions.exprs import add_all, as_of_date, hundredths, known_by, numbered, rounded
 
 SIGNALS = {"null": "null_rate", "dup": "duplicate_rate", "fail": "control_failure_rate"}
 TRENDS = {"null": "null_rate_trend", "dup": "duplicate_rate_trend", "fail": "control_failure_trend"}
 
 
-def daily_profile(counters: DataFrame, null_measure: str, columns_checked: int, dup_measure: str) -> DataFrame:
-    """Additive profile per (dataset, day): cells, null cells, rows, duplicate rows."""
-    c = F.col
-    return counters.select(
-        "dataset_id", "test_date", (c("n_rows") * columns_checked).alias("cells"), c(null_measure).alias("null_cells"),
-        c("n_rows").alias("profiled_rows"), c(dup_measure).alias("dup_rows"),
-    )
+PROFILE = ("cells", "null_cells", "profiled_rows", "dup_rows")
+
+
+def profile(df: DataFrame, columns: list[str], key: list[str], by: list[str]) -> DataFrame:
+    """Null cells of ``columns`` and repeated rows of ``key``, per ``by``; the measures are additive.
+
+    Rows are counted per key first (map-side combined), so a key with very many rows is one
+    row afterwards. Null keys are equal to each other.
+    """
+    nulls = add_all([F.col(x).isNull().cast("long") for x in columns])
+    per_key = df.groupBy(*by, *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).agg(F.count("*").alias("_n"), F.sum(nulls).alias("_nulls"))
+    return per_key.groupBy(*by).agg(
+        (F.sum("_n") * len(columns)).alias("cells"), F.sum("_nulls").alias("null_cells"),
+        F.sum("_n").alias("profiled_rows"), F.sum(F.col("_n") - 1).alias("dup_rows"))
+
+
+def roll_up_profile(measured: DataFrame, keys: list[str]) -> DataFrame:
+    """Sum a profile to coarser keys."""
+    return measured.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in PROFILE])
 
 
 def daily_failures(tests: DataFrame) -> DataFrame:
@@ -36,16 +48,21 @@ def _mean(units: Column, n: Column) -> Column:
     return F.try_divide(units, F.lit(100.0) * n)
 
 
-def period_rates(tests: DataFrame, profile: DataFrame, as_of=None, split: int = V.TREND_SPLIT_DAYS) -> DataFrame:
+def _periods(end: Column, split: int, early_days: int) -> tuple[Column, Column]:
+    """Early and recent period before ``end``: the same bounds as ``history`` has on each day."""
+    day, cut = F.col("test_date"), F.date_sub(end, split)
+    return (day > F.date_sub(cut, early_days)) & (day <= cut), (day > cut) & (day <= end)
+
+
+def period_rates(tests: DataFrame, profile: DataFrame, as_of=None, split: int = V.TREND_SPLIT_DAYS, early_days: int = V.TREND_SPLIT_DAYS) -> DataFrame:
     """Unrounded early and recent rates per dataset; a dataset without both periods is left out.
 
-    Early is up to ``as_of - split`` inclusive, recent is after it up to ``as_of``.
+    Recent is after ``as_of - split`` up to ``as_of``, early the ``early_days`` before that.
     """
     end = as_of_date(tests, as_of)
-    cut = F.date_sub(end, split)
     c = F.col
-    early, recent = c("test_date") <= cut, c("test_date") > cut
-    known = c("test_date") <= end
+    early, recent = _periods(end, split, early_days)
+    known = early | recent
 
     def both(df, specs):
         aggs = []
@@ -146,11 +163,10 @@ def with_watchlist_ids(df: DataFrame) -> DataFrame:
 
 def reconcile(stored: DataFrame, tests: DataFrame, as_of=None) -> DataFrame:
     """Recompute the control-failure trend from the test history and the status from all trends."""
-    cut = F.date_sub(as_of_date(tests, as_of), V.TREND_SPLIT_DAYS)
     c = F.col
-    early, recent = c("test_date") <= cut, c("test_date") > cut
+    early, recent = _periods(as_of_date(tests, as_of), V.TREND_SPLIT_DAYS, V.TREND_SPLIT_DAYS)
     units = hundredths(c("failure_rate"))
-    again = tests.groupBy("dataset_id").agg(
+    again = known_by(tests, as_of).groupBy("dataset_id").agg(
         _mean(F.sum(F.when(early, units)), F.count_if(early)).alias("_e"),
         _mean(F.sum(F.when(recent, units)), F.count_if(recent)).alias("_r"),
     ).filter(c("_e").isNotNull() & c("_r").isNotNull())

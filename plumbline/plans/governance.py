@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.exceptions import EXCEPTION_COLUMNS
+from ..operators.watchlist import with_watchlist_ids
+
 ORDER = ("data_inventory", "control_rulebook", "control_test_results", "dq_watchlist", "exceptions",
          "remediation_tickets", "domain_trust_scores", "governance_maturity")
 PARTITIONS = {"control_test_results": ["test_date"]}
@@ -12,6 +15,9 @@ SOURCES = {
     "exceptions": "exceptions", "remediation_tickets": "tickets", "domain_trust_scores": "trust", "governance_maturity": "maturity",
 }
 
+# published layouts, where a layer carries more than is stored
+LAYOUTS = {"dq_watchlist": with_watchlist_ids, "exceptions": lambda df: df.select(*EXCEPTION_COLUMNS)}
+
 
 def refresh(layers, root: str) -> dict[str, DataFrame]:
     """Write all eight tables under ``root`` and return them as read back.
@@ -26,6 +32,7 @@ def refresh(layers, root: str) -> dict[str, DataFrame]:
     done: dict[str, DataFrame] = {}
     for name in ORDER:
         df = getattr(layers, SOURCES[name])
+        df = LAYOUTS[name](df) if name in LAYOUTS else df
         refresh_tables({name: df}, root, PARTITIONS)
         stored = layers.spark.read.schema(df.schema).parquet(f"{root.rstrip('/')}/{name}")
         setattr(layers, SOURCES[name], stored)

@@ -13,8 +13,10 @@ from ..operators.scoring import DIMENSIONS
 class ResultStore:
     """Three append-only tables under one shared folder.
 
-    ``run_id`` is unique in the log and the summary: rows whose id is already stored
-    are dropped by an anti join before the append, so a retried write adds nothing.
+    ``run_id`` is unique in the log and the summary: rows whose id is already stored are
+    dropped by an anti join before the append, so a retried write adds nothing, and of rows
+    that repeat an id inside one append one is kept. Two writers at the same time are not
+    guarded against each other.
     Detail rows are partitioned by run, and reading one run opens only its folder.
     """
 
@@ -49,8 +51,13 @@ class ResultStore:
     def _new_runs(self, rows: DataFrame, table: str) -> DataFrame:
         return rows.join(self.read(table).select("run_id").distinct(), "run_id", "left_anti")
 
+    def _one_per_run(self, rows: DataFrame) -> DataFrame:
+        """Of rows with one run_id the first in the order of their values."""
+        least = rows.groupBy("run_id").agg(F.min(F.struct(*[c for c in rows.columns if c != "run_id"])).alias("_row"))
+        return least.select("run_id", "_row.*").select(*rows.columns)
+
     def append_run_log(self, runs: DataFrame) -> None:
-        self._append(self._new_runs(runs, "dq_run_log"), "dq_run_log")
+        self._append(self._one_per_run(self._new_runs(runs, "dq_run_log")), "dq_run_log")
 
     def append_results(self, results: DataFrame) -> None:
         """Adds nothing for an empty input."""
@@ -63,7 +70,7 @@ class ResultStore:
             name = f"score_{d}"
             value = F.coalesce(F.col(name), F.lit(100.0)) if name in cols else F.lit(100.0)
             scores = scores.withColumn(name, value)
-        self._append(self._new_runs(scores, "dq_summary"), "dq_summary")
+        self._append(self._one_per_run(self._new_runs(scores, "dq_summary")), "dq_summary")
 
 
 def refresh_tables(tables: dict[str, DataFrame], root: str, partition_by: dict[str, list[str]] | None = None) -> None:

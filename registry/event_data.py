@@ -19,10 +19,11 @@ def dirty_rules() -> EventRules:
         window_start=_moment("2024-01-01 00:00:00"), window_end=_moment("2024-01-30 23:59:59"), time="ts", tie="event_id")
 
 
-def dirty_events(spark: SparkSession, sf: str) -> DataFrame:
+def dirty_events(spark: SparkSession, sf: str, keep=()) -> DataFrame:
     """All events with defects that depend on ``event_id`` only, plus repeated rows.
 
-    Copies come from ``explode`` so that the source is scanned once.
+    Copies come from ``explode`` so that the source is scanned once. ``keep`` adds columns
+    of the clean events.
     """
     e = table(spark, sf, "events")
     i, kind = F.col("event_id"), F.col("event_type")
@@ -32,7 +33,7 @@ def dirty_events(spark: SparkSession, sf: str) -> DataFrame:
         F.when((kind == "purchase") & (i % 50 != 0), F.concat(F.lit("T"), (i - i % 3).cast("string")))
         .when((kind == "view") & (i % 400 == 1), "FAKE"))
     rows = e.select(
-        i,
+        *keep, i,
         F.when(i % 500 == 7, _moment("2000-01-01 00:00:00")).otherwise(F.col("ts")).alias("ts"),
         F.when(i % 200 == 0, None).otherwise(F.col("user_id")).alias("visitorid"),
         event.alias("event"),

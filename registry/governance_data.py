@@ -15,6 +15,8 @@ from plumbline.operators.controls import Control
 from plumbline.session import settle
 
 from .core import table
+from .event_data import CTES as EVENT_CTES
+from .event_data import dirty_events
 
 # rule id, name, category, threshold, severity, scope SQL, predicate SQL (for the DuckDB side)
 RULES = (
@@ -26,7 +28,11 @@ RULES = (
     ("CONS-B", "Purchases have a real value", "Consistency", 85.0, "Medium", "event_type = 'purchase'", "value >= 5"),
     ("CONS-C", "Refunds have a value", "Consistency", 90.0, "High", "event_type = 'refund'", "value > 0"),
     ("TIME-A", "Arrives after six", "Timeliness", 70.0, "Low", "true", "hour(ts) >= 6"),
+    ("COMP-Z", "Test events carry a value", "Completeness", 99.0, "Low", "event_type = 'test'", "value IS NOT NULL"),
 )
+# declared mapping: rule k applies to data set d unless (d + k) % 7 = 0; one data set and one rule
+# are mapped nowhere, and COMP-Z never has rows in scope
+UNMAPPED_DATASET, UNMAPPED_RULE, MAPPED_OUT = 24, 7, 7
 TEAMS = ("Data Engineering Team", "Source System Team", "Data Governance Office", "Finance Operations", "Risk Technology", "CRM Team")
 CAUSES = ("Source System Failure", "ETL Failure", "Manual Entry Error", "Mapping Issue", "Feed Delay")
 STATUSES = ("Resolved", "Open", "In Progress", "Escalated", "Assigned")
@@ -37,7 +43,7 @@ def gov_controls() -> list[Control]:
     return [
         Control("COMP-A", k != "0"), Control("ACCU-A", v <= 150), Control("ACCU-B", v >= 1), Control("ACCU-C", v <= 100),
         Control("CONS-A", kind != "error"), Control("CONS-B", v >= 5, kind == "purchase"), Control("CONS-C", v > 0, kind == "refund"),
-        Control("TIME-A", F.hour("ts") >= 6),
+        Control("TIME-A", F.hour("ts") >= 6), Control("COMP-Z", v.isNotNull(), kind == "test"),
     ]
 
 
@@ -48,13 +54,14 @@ def _pick(values, index):
 class Governance:
     """The governance tables of one scale factor, each derived lazily from the base tables.
 
-    With ``settled`` the daily counters (one row per dataset and day) are written once to
-    the shared folder and read back: what builds several layers on them scans the fact
-    table exactly once, and a lost executor does not bring that scan back.
+    With ``settled`` the test history and the profile (one row per dataset, rule and day) are
+    written once to the shared folder and read back: what builds several layers on them scans
+    the fact table once for each, and a lost executor does not bring that scan back. The
+    reference date is the latest date of the test history, or ``days_back`` days before it.
     """
 
-    def __init__(self, spark: SparkSession, sf: str, settled: bool = False):
-        self.spark, self.sf, self.settled = spark, sf, settled
+    def __init__(self, spark: SparkSession, sf: str, settled: bool = False, days_back: int = 0):
+        self.spark, self.sf, self.settled, self.days_back = spark, sf, settled, days_back
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf, name)
@@ -80,36 +87,40 @@ class Governance:
     def counters(self) -> DataFrame:
         """Daily counters per dataset: one scan of the events, reduced on the events' own keys,
         then joined to the customer and rolled up to the nation."""
-        events, customer = self.table("events"), self.table("customer")
-        i = F.col("event_id")
-        per_key = controls.control_counters(
-            events, ["user_id", "event_type", F.to_date("ts").alias("test_date")], gov_controls(),
-            extra={"m_no_visitor": i % 200 == 0, "m_no_event": i % 333 == 0, "m_no_item": i % 150 == 0},
-        )
-        per_key = per_key.withColumn("m_nulls", F.col("m_no_visitor") + F.col("m_no_event") + F.col("m_no_item")).withColumn(
-            "m_dups", F.col("n_rows") - 1).drop("m_no_visitor", "m_no_event", "m_no_item")
-        owners = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("dataset_id"))
-        daily = controls.roll_up(per_key.join(owners, "user_id"), ["dataset_id", "test_date"])
-        return settle(daily, "daily-counters") if self.settled else daily
+        per_key = controls.control_counters(self.table("events"), ["user_id", F.to_date("ts").alias("test_date")], gov_controls())
+        return controls.roll_up(per_key.join(self.owners, "user_id"), ["dataset_id", "test_date"])
+
+    @cached_property
+    def owners(self) -> DataFrame:
+        return self.table("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("dataset_id"))
 
     @cached_property
     def tests(self) -> DataFrame:
-        return controls.test_results(self.counters, self.rulebook)
+        tests = controls.test_results(self.counters, self.rulebook, self.bridge)
+        return settle(tests, "test-history") if self.settled else tests
 
     @cached_property
     def profile(self) -> DataFrame:
-        return watchlist.daily_profile(self.counters, "m_nulls", 3, "m_dups")
+        """Null cells and repeated events of the events with defects, per dataset and day."""
+        events = dirty_events(self.spark, self.sf, [F.col("user_id"), F.to_date("ts").alias("test_date")])
+        per_key = watchlist.profile(events, ["visitorid", "event", "itemid"], ["event"], ["user_id", "test_date"])
+        measured = watchlist.roll_up_profile(per_key.join(self.owners, "user_id"), ["dataset_id", "test_date"])
+        return settle(measured, "profile") if self.settled else measured
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return self.tests.select("dataset_id", "rule_id").distinct()
+        """The declared mapping of datasets to rules."""
+        rules = F.array(*[F.lit(r[0]) for r in RULES])
+        pairs = self.inventory.select("dataset_id", F.posexplode(rules).alias("k", "rule_id"))
+        mapped = (F.col("dataset_id") != UNMAPPED_DATASET) & (F.col("k") != UNMAPPED_RULE) & ((F.col("dataset_id") + F.col("k")) % MAPPED_OUT != 0)
+        return pairs.filter(mapped).select("dataset_id", "rule_id")
 
     @cached_property
     def as_of(self):
-        """Latest event day: from the settled counters, else a one-column aggregate of the fact table."""
-        if self.settled:
-            return self.counters.agg(F.max("test_date").alias("v")).scalar()
-        return self.table("events").agg(F.max(F.to_date("ts")).alias("v")).scalar()
+        """The latest date of the test history, less ``days_back`` days."""
+        latest = self.tests.agg(F.max("test_date").alias("v"))
+        day = F.lit(latest.first().v) if self.settled else latest.scalar()
+        return F.date_sub(day, self.days_back) if self.days_back else day
 
     @cached_property
     def watchlist(self) -> DataFrame:
@@ -172,7 +183,7 @@ SIGNAL_RATES = ("null_rate", "duplicate_rate", "control_failure_rate")
 
 def watchlist_ctes(name: str, as_of: str, min_move: float | None = None) -> dict[str, str]:
     """Watchlist at a date as a chain of CTEs ending in ``name``."""
-    early, recent = f"test_date <= {as_of} - 15", f"test_date > {as_of} - 15 AND test_date <= {as_of}"
+    early, recent = f"test_date > {as_of} - 30 AND test_date <= {as_of} - 15", f"test_date > {as_of} - 15 AND test_date <= {as_of}"
     delta = {s: f"({s}_recent - {s}_early) / greatest({s}_early, 0.01e0) * 100e0" for s in SIGNAL_RATES}
     tname = {"null_rate": "null_rate_trend", "duplicate_rate": "duplicate_rate_trend", "control_failure_rate": "control_failure_trend"}
     guard = {s: "" if min_move is None else f"abs({s}_recent - {s}_early) >= {min_move}e0 AND " for s in SIGNAL_RATES}
@@ -219,16 +230,18 @@ CTES: dict[str, str] = {
         'SYS-' || n_nationkey % 5 AS source_system, {_case(("High", "Medium", "Low"), "n_nationkey")} AS regulatory_criticality
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "rb": "SELECT * FROM (VALUES " + ", ".join(f"('{r[0]}', '{r[1]}', '{r[2]}', {r[3]}e0, '{r[4]}')" for r in RULES) + ") AS t(rule_id, rule_name, category, threshold, severity)",
+    "bridge": "SELECT n_nationkey AS dataset_id, rule_id FROM nation, (VALUES " + ", ".join(f"({k}, '{r[0]}')" for k, r in enumerate(RULES)) + ") AS t(k, rule_id) "
+        f"WHERE n_nationkey <> {UNMAPPED_DATASET} AND k <> {UNMAPPED_RULE} AND (n_nationkey + k) % {MAPPED_OUT} <> 0",
     "cells": _cells(),
     "gt": """SELECT 'TEST-' || strftime(test_date, '%Y%m%d') || '-' || dataset_id || '-' || rule_id AS test_id, test_date, dataset_id, rule_id, total_records,
         total_records - fail_count AS pass_count, fail_count, round(100e0 * fail_count / total_records, 2) AS failure_rate,
         round(100e0 * (total_records - fail_count) / total_records, 2) AS control_effectiveness,
         CASE WHEN CAST(total_records - fail_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END AS status
-        FROM cells JOIN rb USING (rule_id)""",
+        FROM cells JOIN rb USING (rule_id) JOIN bridge USING (dataset_id, rule_id)""",
+    "gev": EVENT_CTES["b"].replace("SELECT event_id,", "SELECT user_id, CAST(events.ts AS DATE) AS test_date, event_id,", 1),
     "prof": """SELECT dataset_id, test_date, sum(n) * 3 AS cells, sum(nulls) AS null_cells, sum(n) AS profiled_rows, sum(n - 1) AS dup_rows FROM (
-        SELECT c_nationkey AS dataset_id, CAST(ts AS DATE) AS test_date, user_id, event_type, count(*) AS n,
-        sum((event_id % 200 = 0)::INT + (event_id % 333 = 0)::INT + (event_id % 150 = 0)::INT) AS nulls
-        FROM events JOIN customer ON user_id = c_custkey GROUP BY ALL) GROUP BY 1, 2""",
+        SELECT c_nationkey AS dataset_id, test_date, user_id, event, count(*) AS n, sum((visitorid IS NULL)::INT + (event IS NULL)::INT + (itemid IS NULL)::INT) AS nulls
+        FROM (SELECT * FROM gev UNION ALL SELECT * FROM gev WHERE event_id % 250 = 3) JOIN customer ON user_id = c_custkey GROUP BY ALL) GROUP BY 1, 2""",
     **watchlist_ctes("wl", AS_OF),
     **watchlist_ctes("wl7", f"({AS_OF} - 7)"),
     **watchlist_ctes("wlm", AS_OF, 0.5),
@@ -271,7 +284,6 @@ CTES: dict[str, str] = {
         SELECT 'Enterprise (Overall)', avg(trust_score), avg(avg_control_effectiveness), (SELECT count(*) FROM inv) FROM tx""",
     "tr": """SELECT domain, round(trust_score, 1) AS trust_score, CASE WHEN trust_score >= 90 THEN 'Trusted' WHEN trust_score >= 75 THEN 'Monitor' ELSE 'At Risk' END AS trust_category,
         round(avg_control_effectiveness, 1) AS avg_control_effectiveness, dataset_count FROM ta""",
-    "bridge": "SELECT DISTINCT dataset_id, rule_id FROM gt",
     "mt0": """SELECT round(100e0 * (SELECT count(DISTINCT dataset_id) FROM bridge) / (SELECT count(*) FROM inv), 1) AS control_coverage, 85e0 AS automation_pct,
         (SELECT CASE WHEN count(*) > 0 THEN round(100e0 * count(*) FILTER (WHERE NOT sla_breach) / count(*), 1) ELSE 100e0 END FROM tk) AS sla_compliance, 100e0 AS audit_completeness""",
     "mt": """SELECT round(s, 1) AS maturity_score, CASE WHEN s >= 90 THEN 'Optimized' WHEN s >= 75 THEN 'Managed' WHEN s >= 60 THEN 'Developing' ELSE 'Initial' END AS maturity_level,
@@ -291,11 +303,19 @@ CTES: dict[str, str] = {
 }
 
 
-def sql(body: str, **more: str) -> str:
-    """``body`` behind the CTEs it needs (found by name, transitively)."""
+def sql(body: str, days_back: int = 0, **more: str) -> str:
+    """``body`` behind the CTEs it needs (found by name, transitively).
+
+    With ``days_back`` the test history ends so many days before its latest date.
+    """
     import re
 
-    every = {**CTES, **more}
+    every: dict[str, str] = {}
+    for name, text in {**CTES, **more}.items():
+        if name == "gt" and days_back:
+            every["gt_all"] = text
+            text = f"SELECT * FROM gt_all WHERE test_date <= (SELECT max(test_date) FROM gt_all) - {days_back}"
+        every[name] = text
     need: set[str] = set()
 
     def visit(text: str) -> None:

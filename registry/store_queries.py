@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from plumbline import fixed_values as V
 from plumbline import schemas
-from plumbline.functions.exprs import wall_micros
+from plumbline.functions.exprs import small_table, wall_micros
 from plumbline.operators import controls, scoring
+from plumbline.operators.exceptions import EXCEPTION_COLUMNS
+from plumbline.operators.watchlist import WATCHLIST_COLUMNS
 from plumbline.session import shared_folder
 from plumbline.sources import readers, sampling, store
 from plumbline.streaming import arrivals, control_stream
@@ -95,6 +97,15 @@ def _filled(spark, sf, *what: str) -> store.ResultStore:
     return st
 
 
+def _repeated(spark, sf) -> store.ResultStore:
+    """Appends that repeat run ids, in one batch and over batches."""
+    st = store.ResultStore(spark, shared_folder(spark, "store"))
+    log = _filled(spark, sf, "log").read("dq_run_log")
+    st.append_run_log(log.unionByName(log.withColumn("total_records", F.lit(0).cast("bigint"))))
+    st.append_run_log(log)
+    return st
+
+
 LOG_SQL = "SELECT k AS run_id, run_date, 'events' AS dataset_name, total_records, 'COMPLETED' AS status FROM lg"
 register("s05_run_log",
          lambda s, sf: _filled(s, sf, "log").read("dq_run_log").select("run_id", F.to_date("run_timestamp").alias("run_date"), "dataset_name", "total_records", "status"),
@@ -113,7 +124,7 @@ INTS = ["pass_count", "fail_count", "warn_count", "critical_failures", "high_fai
 SUMMARY_SQL = "SELECT k AS run_id, 'events' AS dataset_name, quality_score, status, " + ", ".join(f"CAST({x} AS INT) AS {x}" for x in INTS) + ", " + ", ".join(ev.DIM_COLS) + " FROM scored"
 register("s07_summary", lambda s, sf: _filled(s, sf, "summary").read("dq_summary").drop("run_timestamp"), ev.sql(SUMMARY_SQL, ev.DAILY, ev.CHK, ev.SCORED))
 register("s09_unique_run_ids",
-         lambda s, sf: _filled(s, sf, "log").read("dq_run_log").agg(F.count("*").alias("rows_stored"), F.countDistinct("run_id").alias("run_ids")),
+         lambda s, sf: _repeated(s, sf).read("dq_run_log").agg(F.count("*").alias("rows_stored"), F.countDistinct("run_id").alias("run_ids")),
          ev.sql("SELECT count(*) AS rows_stored, count(*) AS run_ids FROM lg", ev.DAILY, ev.LOG))
 
 
@@ -133,6 +144,9 @@ register("s08_full_refresh", _refreshed_counts,
          gov_sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}" for n, t in
                                     (("data_inventory", "inv"), ("control_rulebook", "rb"), ("control_test_results", "gt"), ("exceptions", "ex"),
                                      ("dq_watchlist", "wl"), ("remediation_tickets", "tk"), ("domain_trust_scores", "tr"), ("governance_maturity", "mt")))))
+register("s08b_refreshed_watchlist", lambda s, sf: _refresh(s, sf)["dq_watchlist"],
+         gov_sql("SELECT printf('WL-%04d', row_number() OVER (ORDER BY domain, dataset_id)) AS watchlist_id, " + ", ".join(WATCHLIST_COLUMNS[1:]) + " FROM wl"))
+register("s08c_refreshed_exceptions", lambda s, sf: _refresh(s, sf)["exceptions"], gov_sql("SELECT " + ", ".join(EXCEPTION_COLUMNS) + " FROM ex"))
 
 
 def _exported(spark, sf):
@@ -191,7 +205,24 @@ def _arrivals(spark, sf):
 CLOSED = """SELECT event_type, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end, count(*) AS arrivals FROM events
     GROUP BY 1, 2, 3 HAVING time_bucket(INTERVAL 15 MINUTE, any_value(ts)) + INTERVAL 15 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 15 MINUTE"""
 register("e01_arrival_windows", _arrivals, CLOSED)
-register("e01b_missed_arrivals", lambda s, sf: arrivals.missed_windows(_arrivals(s, sf), "event_type"),
+FEEDS = ("click", "error", "purchase", "refund", "view", "heartbeat")
+
+
+def _silent(spark, sf):
+    """Missed windows of the expected feeds; refunds stop on the 20th and no heartbeat ever comes."""
+    closed = _arrivals(spark, sf)
+    closed = closed.filter((c("event_type") != "refund") | (c("window_start") < F.lit("2024-01-20").cast("timestamp_ntz")))
+    feeds = small_table(spark, "event_type STRING", [(f,) for f in FEEDS])
+    return arrivals.missed_windows(closed, "event_type", feeds=feeds, horizon=closed.agg(F.max("window_end").alias("v")).scalar())
+
+
+register("e01b_missed_arrivals", _silent,
+         f"""WITH w AS (SELECT * FROM ({CLOSED}) WHERE event_type <> 'refund' OR window_start < TIMESTAMP '2024-01-20'),
+             f AS (SELECT unnest({list(FEEDS)}) AS event_type UNION SELECT event_type FROM w),
+             p AS (SELECT event_type, window_start FROM w UNION SELECT event_type, (SELECT min(window_start) FROM w) - INTERVAL 15 MINUTE FROM f UNION SELECT event_type, (SELECT max(window_end) FROM w) FROM f)
+             SELECT event_type, prev + INTERVAL 15 MINUTE AS missed_from, window_start AS missed_to, CAST(epoch(window_start - prev) // 900 - 1 AS BIGINT) AS missed_windows FROM
+             (SELECT event_type, window_start, lag(window_start) OVER (PARTITION BY event_type ORDER BY window_start) AS prev FROM p) WHERE window_start > prev + INTERVAL 15 MINUTE""")
+register("e01c_each_missed_window", lambda s, sf: arrivals.each_window(arrivals.missed_windows(_arrivals(s, sf), "event_type"), "event_type"),
          f"""SELECT event_type, unnest(generate_series(prev + INTERVAL 15 MINUTE, window_start - INTERVAL 15 MINUTE, INTERVAL 15 MINUTE)) AS missed_window FROM
              (SELECT event_type, window_start, lag(window_start) OVER (PARTITION BY event_type ORDER BY window_start) AS prev FROM ({CLOSED})) WHERE window_start > prev + INTERVAL 15 MINUTE""")
 
@@ -206,7 +237,7 @@ def _incremental(spark, sf):
         return controls.roll_up(per_key.join(owners, "user_id"), ["dataset_id", "test_date"])
 
     control_stream.start_counters(_stream(spark, sf), counters, f"{base}/counters", f"{base}/progress").awaitTermination()
-    return controls.test_results(control_stream.accumulated(spark, f"{base}/counters", ["dataset_id", "test_date"]), g.rulebook)
+    return controls.test_results(control_stream.accumulated(spark, f"{base}/counters", ["dataset_id", "test_date"]), g.rulebook, g.bridge)
 
 
 register("e02_incremental_tests", _incremental,

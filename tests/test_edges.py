@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.operators import rules
+from plumbline.operators import analysis, exceptions, rules, trust, watchlist
 from plumbline.operators.checks import EventRules, run_checks
 from plumbline.operators.controls import reconcile, test_results as control_results
-from plumbline.sources import readers, sampling
+from plumbline.sources import readers, sampling, store
+from plumbline.streaming import arrivals
 
 
 def test_few_failures_in_many_rows_fail_a_full_threshold(spark):
@@ -79,3 +80,54 @@ def test_exact_sample_with_one_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
     for n in (0, 1, 500, 1500, 3000, 5000):
         assert sampling.exact_sample(df, n, sampling.key_hash(F.col("k")), ["id"]).count() == min(n, 3000)
+
+
+def _history(spark, days, failing_from):
+    rows = [(d, "D1", "R", 100, 0 if d < failing_from else 50) for d in range(days)]
+    df = spark.createDataFrame(rows, "d int, dataset_id string, rule_id string, total_records bigint, fail_count bigint")
+    rate = F.col("fail_count") * 100.0 / F.col("total_records")
+    return df.select(
+        F.col("d").cast("string").alias("test_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")).alias("test_date"), "dataset_id", "rule_id", "total_records",
+        (F.col("total_records") - F.col("fail_count")).alias("pass_count"), "fail_count", rate.alias("failure_rate"), (100.0 - rate).alias("control_effectiveness"),
+        F.when(F.col("fail_count") > 0, "Fail").otherwise("Pass").alias("status"))
+
+
+def test_a_past_date_does_not_see_what_came_later(spark):
+    tests = _history(spark, 40, 20)
+    book = spark.createDataFrame([("R", "rule", "Accuracy", 100.0, "Critical")], "rule_id string, rule_name string, category string, threshold double, severity string")
+    inventory = spark.createDataFrame([("D1", "one", "dom", "High", "o", "s")], "dataset_id string, dataset_name string, domain string, regulatory_criticality string, owner string, steward string")
+    assert exceptions.detect(tests, book, inventory, "2024-01-16").count() == 0
+    assert exceptions.detect(tests, book, inventory, "2024-01-25").count() > 0
+    assert trust.domain_effectiveness(tests, inventory, "2024-01-16").first().avg_control_effectiveness == 100.0
+    assert analysis.mean_effectiveness_windows(tests, "2024-01-16").first() == (100.0, 100.0)
+    measured = tests.select("dataset_id", "test_date", F.lit(100).alias("cells"), F.lit(1).alias("null_cells"), F.lit(100).alias("profiled_rows"), F.lit(1).alias("dup_rows"))
+    for day in ("2024-01-31", "2024-02-05", "2024-02-09"):
+        made = watchlist.watchlist(tests, measured, inventory, day)
+        row = watchlist.reconcile(made, tests, day).first()
+        assert row.trend_recomputed == row.control_failure_trend and row.reconciled
+        rolling = watchlist.history(tests, measured).filter(F.col("test_date") == day).first()
+        assert rolling.control_failure_trend == row.control_failure_trend
+
+
+def test_profile_counts_real_nulls_and_repeats(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, "x"), ("a", None, None), ("b", None, "y"), ("b", None, "y")], "d string, k int, v string")
+    got = {r.d: (r.cells, r.null_cells, r.profiled_rows, r.dup_rows) for r in watchlist.profile(df, ["k", "v"], ["k"], ["d"]).collect()}
+    assert got == {"a": (6, 3, 3, 1), "b": (4, 2, 2, 1)}
+
+
+def test_silent_feeds_are_reported(spark):
+    rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:15:00"), ("b", "2024-01-01 00:00:00"), ("b", "2024-01-01 06:00:00")]
+    closed = spark.createDataFrame(rows, "k string, t string").select("k", F.col("t").cast("timestamp_ntz").alias("window_start"))
+    feeds = spark.createDataFrame([("a",), ("b",), ("never",)], "k string")
+    horizon = F.lit("2024-01-01 06:15:00").cast("timestamp_ntz")
+    got = {(r.k, str(r.missed_from)[11:16], str(r.missed_to)[11:16], r.missed_windows) for r in arrivals.missed_windows(closed, "k", feeds=feeds, horizon=horizon).collect()}
+    assert got == {("a", "00:30", "06:15", 23), ("b", "00:15", "06:00", 23), ("never", "00:00", "06:15", 25)}
+
+
+def test_one_row_per_run_id(spark, tmp_path):
+    st = store.ResultStore(spark, str(tmp_path))
+    runs = spark.createDataFrame([("r1", 5), ("r1", 3), ("r2", 1)], "run_id string, total_records bigint")
+    runs = runs.select("*", F.lit("2024-01-01").cast("timestamp").alias("run_timestamp"), F.lit("e").alias("dataset_name"), F.lit("DONE").alias("status"))
+    for _ in range(2):
+        st.append_run_log(runs)
+    assert sorted((r.run_id, r.total_records) for r in st.read("dq_run_log").collect()) == [("r1", 3), ("r2", 1)]

@@ -31,7 +31,7 @@ def test_incremental_control_tests(spark, sf, tmp_path):
     for _ in range(2):  # the second start finds nothing new
         control_stream.start_counters(stream, counters, out, progress).awaitTermination()
     assert len(list((tmp_path / "out").iterdir())) == 4
-    got = controls.test_results(control_stream.accumulated(spark, out, ["dataset_id", "test_date"]), g.rulebook)
+    got = controls.test_results(control_stream.accumulated(spark, out, ["dataset_id", "test_date"]), g.rulebook, g.bridge)
     assert sorted(got.collect()) == sorted(g.tests.collect())
 
 
@@ -52,5 +52,5 @@ def test_arrival_windows_close_once(spark, sf, tmp_path):
 def test_missed_windows_are_the_empty_ones(spark):
     rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 01:00:00"), ("b", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:15:00")]
     df = spark.createDataFrame(rows, "k string, t string").select("k", F.col("t").cast("timestamp").alias("window_start"))
-    got = [(r.k, str(r.missed_window)) for r in arrivals.missed_windows(df, "k").orderBy("missed_window").collect()]
+    got = [(r.k, str(r.missed_window)) for r in arrivals.each_window(arrivals.missed_windows(df, "k"), "k").orderBy("missed_window").collect()]
     assert got == [("a", f"2024-01-01 00:{m}:00") for m in ("15", "30", "45")]
