@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import event_date, percent, scalar, small_table
+from ..functions.exprs import event_date, percent, small_table
 
 ALL_CHECKS = tuple(c[0] for c in V.EVENT_CHECKS)
 _DAILY = ("COMP-001", "COMP-002", "COMP-003", "COMP-004", "VALID-001", "VALID-002", "VALID-003",
@@ -178,13 +178,16 @@ def _first_events(events, cfg, by) -> DataFrame:
     txn = c("event") == cfg.transaction
     other = c("event").isNotNull() & ~txn
     keys = [*by, "visitorid"]
-    seen = events.filter(c("visitorid").isNotNull() & c(cfg.time).isNotNull())
-    per_visitor = seen.groupBy(*keys).agg(
+    # rows without a visitor are one group, so the same pass counts all rows
+    per_visitor = events.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.count(cfg.time).alias("timed"),
         F.min(F.when(txn, c(cfg.time))).alias("txn_at"), F.min(F.when(other, c(cfg.time))).alias("other_at"))
-    sure = c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
-    agg = per_visitor.groupBy(*by).agg(F.count("*").alias("visitors"), F.count_if(sure).alias("f"))
+    named = c("visitorid").isNotNull()
+    sure = named & c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
+    agg = per_visitor.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(named & (c("timed") > 0)).alias("visitors"), F.count_if(sure).alias("f"))
     if cfg.tie:
-        ties = per_visitor.filter(c("txn_at") == c("other_at")).select(*keys, c("txn_at").alias(cfg.time))
+        ties = per_visitor.filter(named & (c("txn_at") == c("other_at"))).select(*keys, c("txn_at").alias(cfg.time))
         settled = (
             events.filter(c("event").isNotNull()).select(*keys, cfg.time, cfg.tie, "event")
             .join(ties, [*keys, cfg.time])
@@ -196,13 +199,8 @@ def _first_events(events, cfg, by) -> DataFrame:
         else:
             agg = agg.withColumn("f", c("f") + settled.scalar())
     # without any valid visitor the check counts the rows and finds nothing
-    if by:
-        rows = events.groupBy(*by).agg(F.count("*").alias("rows"))
-        agg = rows.join(agg, by, "left")
-        total, failed = F.coalesce("visitors", "rows"), F.coalesce("f", F.lit(0))
-    else:
-        total, failed = F.when(c("visitors") > 0, c("visitors")).otherwise(scalar(events, F.count("*"))), c("f")
-    return _rows(agg, by, [_finding("CONS-003", total, failed)])
+    total = F.when(c("visitors") > 0, c("visitors")).otherwise(c("rows"))
+    return _rows(agg, by, [_finding("CONS-003", total, c("f"))])
 
 
 def _orphan_items(events, items, by) -> DataFrame:
