@@ -194,23 +194,6 @@ RUN_COLS = ["run_id", "run_date", "quality_score", "status", "total_records"]
 LOG = "lg AS (SELECT k, count(*) AS total_records, strptime(substr(k, 5), '%Y%m%d')::DATE AS run_date FROM src GROUP BY k)"
 
 
-def _renamed(df):
-    return df.withColumnRenamed("run_date", "run_timestamp")
-
-
-register("q01_all_summaries",
-         lambda spark, sf: runs.all_summaries(_renamed(daily_summary(spark, sf)), _renamed(daily_log(spark, sf))).withColumnRenamed("run_timestamp", "run_date").select(*RUN_COLS),
-         sql("SELECT scored.k AS run_id, run_date, quality_score, status, total_records FROM scored LEFT JOIN lg ON scored.k = lg.k ORDER BY run_date", DAILY, CHK, SCORED, LOG))
-register("q02_results_of_run",
-         lambda spark, sf: runs.results_of_run(daily_runs(spark, sf)[0], "RUN-20240115").select("run_id", *CHECK_COLS.split(", ")),
-         sql(f"SELECT k AS run_id, {CHECK_COLS} FROM chk WHERE k = 'RUN-20240115' ORDER BY dimension, rule_id", DAILY, CHK))
-register("q03_latest_run",
-         lambda spark, sf: runs.latest_run(_renamed(daily_summary(spark, sf)), _renamed(daily_log(spark, sf))).withColumnRenamed("run_timestamp", "run_date").select(*RUN_COLS),
-         sql("SELECT scored.k AS run_id, run_date, quality_score, status, total_records FROM scored LEFT JOIN lg ON scored.k = lg.k ORDER BY run_date DESC LIMIT 1", DAILY, CHK, SCORED, LOG))
-register("q04_run_log",
-         lambda spark, sf: runs.run_log_newest_first(_renamed(daily_log(spark, sf))).withColumnRenamed("run_timestamp", "run_date"),
-         sql("SELECT k AS run_id, run_date, total_records FROM lg ORDER BY run_date DESC", DAILY, LOG))
-
 SEV_RANK = "CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 9 END"
 RANKED = f"ranked AS (SELECT *, (row_number() OVER (PARTITION BY k ORDER BY {SEV_RANK}, failure_pct DESC, rule_id))::INT AS issue_rank FROM chk WHERE status <> 'PASS')"
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumbline import fixed_values as V
 from plumbline import schemas
 from plumbline.functions.exprs import small_table, wall_micros
-from plumbline.operators import controls, scoring
+from plumbline.operators import controls, runs, scoring
 from plumbline.operators.exceptions import EXCEPTION_COLUMNS
 from plumbline.operators.watchlist import WATCHLIST_COLUMNS
 from plumbline.session import shared_folder
@@ -128,6 +128,27 @@ register("s09_unique_run_ids",
          ev.sql("SELECT count(*) AS rows_stored, count(*) AS run_ids FROM lg", ev.DAILY, ev.LOG))
 
 
+# ---------------------------------------------------------------- queries over stored runs
+def _dated(df):
+    return df.withColumn("run_timestamp", F.to_date("run_timestamp")).withColumnRenamed("run_timestamp", "run_date")
+
+
+def _runs(pick):
+    def query(spark, sf):
+        st = _filled(spark, sf, "log", "summary")
+        return _dated(pick(st.read("dq_summary"), st.read("dq_run_log"))).select(*ev.RUN_COLS)
+    return query
+
+
+RUNS_SQL = "SELECT scored.k AS run_id, run_date, quality_score, status, total_records FROM scored LEFT JOIN lg ON scored.k = lg.k ORDER BY run_date"
+register("q01_all_summaries", _runs(runs.all_summaries), ev.sql(RUNS_SQL, ev.DAILY, ev.CHK, ev.SCORED, ev.LOG))
+register("q02_results_of_run", lambda s, sf: runs.results_of_run(_filled(s, sf, "results").read("dq_results"), "RUN-20240115").select("run_id", *RESULT_COLS.split(", ")),
+         ev.sql(f"SELECT k AS run_id, {RESULT_COLS} FROM chk WHERE k = 'RUN-20240115' ORDER BY dimension, rule_id", ev.DAILY, ev.CHK))
+register("q03_latest_run", _runs(runs.latest_run), ev.sql(RUNS_SQL + " DESC LIMIT 1", ev.DAILY, ev.CHK, ev.SCORED, ev.LOG))
+register("q04_run_log", lambda s, sf: _dated(runs.run_log_newest_first(_filled(s, sf, "log").read("dq_run_log"))).select("run_id", "run_date", "total_records"),
+         ev.sql("SELECT k AS run_id, run_date, total_records FROM lg ORDER BY run_date DESC", ev.DAILY, ev.LOG))
+
+
 def _refresh(spark, sf):
     from plumbline.plans.governance import refresh
 
@@ -182,6 +203,20 @@ def _relation_sql(child, key, parent, pk, name):
             f"(SELECT count(*) FROM (SELECT {key} FROM {child} GROUP BY 1 HAVING count(*) > 1)) AS repeated_child_keys, (SELECT count(*) FROM (SELECT {pk} FROM {parent} GROUP BY 1 HAVING count(*) > 1)) AS repeated_parent_keys)")
 
 
+def _type_check(spark, sf):
+    """The given tables against a declared layout that is wrong in three columns."""
+    expected = {"orders": schemas.struct("o_orderkey BIGINT, o_custkey INT, o_totalprice INT"),
+                "events": schemas.struct("event_id BIGINT, value STRING")}
+    return store.type_mismatches(spark, {n: spark.read.parquet(f"{sf}/{n}.parquet") for n in expected}, expected)
+
+
+register("s11b_type_check", _type_check,
+         """SELECT e.table_name, e.column_name, e.expected, a.actual FROM
+            (VALUES ('orders', 'o_orderkey', 'bigint'), ('orders', 'o_custkey', 'int'), ('orders', 'o_totalprice', 'int'), ('events', 'event_id', 'bigint'), ('events', 'value', 'string')) AS e(table_name, column_name, expected)
+            JOIN (SELECT 'orders' AS table_name, column_name, lower(column_type) AS actual FROM (DESCRIBE orders) UNION ALL SELECT 'events', column_name, lower(column_type) FROM (DESCRIBE events)) a
+            USING (table_name, column_name) WHERE expected <> actual""")
+
+
 register("s11_relationships", _relations, " UNION ALL ".join(_relation_sql(*r) for r in (
     ("orders", "o_custkey", "customer", "c_custkey", "orders -> customer"), ("lineitem", "l_orderkey", "orders", "o_orderkey", "lineitem -> orders"),
     ("customer", "c_nationkey", "nation", "n_nationkey", "customer -> nation"), ("events", "user_id", "customer", "c_custkey", "events -> customer"),
