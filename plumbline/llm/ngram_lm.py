@@ -41,7 +41,7 @@ from .common import bytes_of, id_remainder, mix64, words_of
 
 ORDER = 2
 MU = 100.0
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 TOKENS_PER_PART = 1 << 20
 END, BEGIN = np.uint64(1), np.uint64(2)  # hashes of the marks; words have others
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -109,19 +109,20 @@ class Grams:
         is_begin[self.starts] = True
         hashed = np.empty(n, np.uint64)
         hashed[is_begin], hashed[~is_begin] = BEGIN, words[tokens]
-        since = np.arange(n) - np.repeat(self.starts, sizes + 1)
+        since = np.arange(n, dtype=np.int32) - np.repeat(self.starts.astype(np.int32), sizes + 1)
         self.keys, self.at, self.first = [], [], []
         for k in range(1, order + 1):
             hashed = mix64(hashed) if k == 1 else mix64(np.concatenate([[np.uint64(0)], hashed[:-1]]) * STEP + plain)
             if k == 1:
                 plain = hashed
-            there = np.flatnonzero(since >= k - 1)
+            there = np.flatnonzero(since >= k - 1).astype(np.int32)
             keys, first, at = np.unique(hashed[there], return_index=True, return_inverse=True)
             numbers = np.full(n, -1, np.int32)
             numbers[there] = at
             self.keys.append(keys)
             self.first.append(there[first])
             self.at.append(numbers)
+            del first, at, there
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +162,7 @@ def _answered(asked: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        out = {n: [] for n in ("chunk", "gram", "part", "totals", "kinds", "ones", "twos")}
+        out = {n: [] for n in ("chunk", "gram", "part", "bits", "totals", "kinds", "ones", "twos")}
         for gram in sorted(set(table.column("gram").to_pylist())):
             rows = table.filter(pc.equal(table.column("gram"), gram))
             keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
@@ -170,16 +171,18 @@ def _answered(asked: DataFrame) -> DataFrame:
             totals = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.int64)
             there = totals[distinct != begin]
             ends = np.cumsum([len(k) for k in keys])
+            bits = 32 if totals.max(initial=0) < 1 << 31 else 64
+            packed = totals.astype(f"i{bits // 8}")
             for chunk, a, b in zip(rows.column("chunk").to_pylist(), [0, *ends], ends):
-                values = (chunk, gram, part, totals[at[a:b]].tobytes(), 0, 0, 0)
+                values = (chunk, gram, part, bits, packed[at[a:b]].tobytes(), 0, 0, 0)
                 for n, v in zip(out, values):
                     out[n].append(v)
-            values = (-1, gram, part, b"", int((there > 0).sum()), int((there == 1).sum()), int((there == 2).sum()))
+            values = (-1, gram, part, bits, b"", int((there > 0).sum()), int((there == 1).sum()), int((there == 2).sum()))
             for n, v in zip(out, values):
                 out[n].append(v)
-        return pa.table(out, pa.schema([("chunk", pa.int64()), ("gram", pa.int32()), ("part", pa.int32()), ("totals", pa.binary()), ("kinds", pa.int64()), ("ones", pa.int64()), ("twos", pa.int64())]))
+        return pa.table(out, pa.schema([("chunk", pa.int64()), ("gram", pa.int32()), ("part", pa.int32()), ("bits", pa.int32()), ("totals", pa.binary()), ("kinds", pa.int64()), ("ones", pa.int64()), ("twos", pa.int64())]))
 
-    return asked.groupBy("part").applyInArrow(run, "chunk bigint, gram int, part int, totals binary, kinds bigint, ones bigint, twos bigint")
+    return asked.groupBy("part").applyInArrow(run, "chunk bigint, gram int, part int, bits int, totals binary, kinds bigint, ones bigint, twos bigint")
 
 
 class Automaton:
@@ -204,6 +207,7 @@ class Automaton:
             p = (counts[k] + mu * p[shorter]) / (counts[k - 1][before] + mu)
             self.arc.append(np.log10(p))
             self.fail.append(np.log10(mu / (counts[k - 1] + mu)))
+            del before, shorter
 
     def scores(self, sizes: np.ndarray) -> np.ndarray:
         """log10 probability of each document: one traversal, all documents abreast."""
@@ -243,7 +247,7 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, chunk_bytes: int
     tokens, total = known[0] or 0, known[1] or 0
     answers = _write(_answered(_asked(chunks, order, max(1, math.ceil(tokens / tokens_per_part)))), "answers")
     kinds, ones, twos = (v or 0 for v in answers.filter("chunk < 0 and gram = 1").agg(F.sum("kinds"), F.sum("ones"), F.sum("twos")).first())
-    own = answers.filter("chunk >= 0").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("gram", "part", "totals"))).alias("totals"))
+    own = answers.filter("chunk >= 0").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("gram", "part", "bits", "totals"))).alias("totals"))
     columns = ["doc_ids", "held", "sizes", "tokens", "words", "totals"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +257,7 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, chunk_bytes: int
                 row = batch.slice(i, 1).to_pylist()[0]
                 held, sizes, tokens, words = _unpack(row)
                 grams = Grams(sizes, tokens, words, order)
-                counts = [np.concatenate([np.frombuffer(t["totals"], np.int64) for t in row["totals"] if t["gram"] == k]) for k in range(1, order + 1)]
+                counts = [np.concatenate([np.frombuffer(t["totals"], f"i{t['bits'] // 8}") for t in row["totals"] if t["gram"] == k]) for k in range(1, order + 1)]
                 scores = Automaton(grams, counts, total, kinds, ones, twos, mu).scores(sizes)
                 count = counts[0][grams.at[0]].astype(np.float64)
                 base = np.log10(count + 0.1) - floor
