@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline import fixed_values as V
 from plumbline import schemas
 from plumbline.functions.exprs import small_table, wall_micros
 from plumbline.operators import controls, runs, scoring
