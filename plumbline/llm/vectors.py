@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from .common import settle
 
 K = 10
-BOUND = 4.0
+BOUND = 3.0
 SEED = 3
 QUERIES_AT_ONCE = 2048
+BLOCKS_AT_ONCE = 16  # searched in one job; more are written out in turn
 ROWS_AT_ONCE = 1024
 
 
@@ -139,21 +140,31 @@ def nearest(queries: DataFrame, table: DataFrame, k: int = K, bound: float = BOU
     asked = settle(asked.repartitionByRange("vec_id"), "queries")
     spark, found, ids, vectors = table.sparkSession, [], [], []
 
+    def best(parts: list[DataFrame]) -> DataFrame:
+        """The k nearest per query over what the tasks returned."""
+        near = parts[0]
+        for more in parts[1:]:
+            near = near.unionByName(more)
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+        return near.select("query_id", "vec_id", "score").withColumn("rank", rank).filter(F.col("rank") <= k)
+
     def search() -> None:
         sent = spark.sparkContext.broadcast((np.array(ids, np.int64), np.array(vectors, np.float64).reshape(len(ids), dim)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = Best(*sent.value, middle, k, bound)
+            held = Best(*sent.value, middle, k, bound)
             for batch in batches:
                 for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                     rows = batch.slice(start, ROWS_AT_ONCE)
                     code = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
-                    best.offer(rows.column("vec_id").to_numpy().astype(np.int64), _matrix(rows.column("embedding"), dim), code,
+                    held.offer(rows.column("vec_id").to_numpy().astype(np.int64), _matrix(rows.column("embedding"), dim), code,
                                rows.column("size").to_numpy(), rows.column("along").to_numpy())
-            q, r = np.nonzero(np.isfinite(best.distance))
-            yield pa.RecordBatch.from_pydict({"query_id": best.ids[q], "vec_id": best.id[q, r], "score": best.distance[q, r]})
+            q, r = np.nonzero(np.isfinite(held.distance))
+            yield pa.RecordBatch.from_pydict({"query_id": held.ids[q], "vec_id": held.id[q, r], "score": held.distance[q, r]})
 
         found.append(index.mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
+        if len(found) > BLOCKS_AT_ONCE:
+            found[:] = [settle(best(found).drop("rank"), "neighbours")]
 
     for row in asked.toLocalIterator():  # one block in memory at a time
         ids.append(row.vec_id)
@@ -163,8 +174,4 @@ def nearest(queries: DataFrame, table: DataFrame, k: int = K, bound: float = BOU
             ids, vectors = [], []
     if ids or not found:
         search()
-    near = found[0]
-    for more in found[1:]:
-        near = near.unionByName(more)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best(found).select("query_id", "rank", "vec_id", "score")

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 
 from plumbline.llm import vectors as V
 
@@ -17,12 +18,13 @@ def brute(ids, x, asked, k=10):
     return out
 
 
-def test_recall_on_embeddings(spark):
+@pytest.mark.parametrize("block", [1, 7, 2048])
+def test_recall_on_embeddings(spark, block):
     path = "/root/testdata/sf0.1/embeddings.parquet"
     raw = pq.read_table(path)
     ids, x = raw.column("vec_id").to_numpy(), np.array(raw.column("embedding").to_pylist(), np.float64)
     table = spark.read.parquet(path)
-    got = V.nearest(table.filter("vec_id % 100 = 0"), table, block=7).collect()
+    got = V.nearest(table.filter("vec_id % 100 = 0"), table, block=block).collect()
     want = brute(ids, x, ids[ids % 100 == 0])
     assert len({(r.query_id, r["rank"], r.vec_id) for r in got} & want) >= 0.99 * len(want) and len(got) == len(want)
     at = {i: v for i, v in zip(ids, x)}
