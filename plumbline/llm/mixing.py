@@ -29,7 +29,7 @@ from .common import settle, split_column
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
-ROWS_PER_SLICE = 50_000
+ROWS_PER_SLICE = 2_000
 
 
 def _targets(totals: DataFrame, weights: tuple, share: float, most: float) -> DataFrame:
