@@ -20,10 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of
+from .common import bytes_of, slices
 from .merges import Merges, from_ranks
 
-PIECES_HELD = 200_000
+PIECES_HELD = 100_000
 TEXT_AT_ONCE = 2 << 20
 
 
@@ -150,26 +150,13 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(load(path), pattern)
 
 
-def _batches(texts: list, most: int) -> Iterator[range]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield range(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield range(start, len(texts))
-
-
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and token_ids: the ids of the text as little-endian unsigned 32-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path, pattern)
-        for batch in batches:
-            texts = bytes_of(batch.column("text"))
-            for part in _batches(texts, TEXT_AT_ONCE):
-                ids = [made.ids(texts[i].decode()) for i in part]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.start, len(part)), pa.array(ids, pa.binary())], ["doc_id", "token_ids"])
+        for rows in slices(batches, "text", TEXT_AT_ONCE):
+            ids = [made.ids(t.decode()) for t in bytes_of(rows.column("text"))]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "token_ids"])
 
     schema = docs.select("doc_id", F.lit(b"").alias("token_ids")).schema
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -179,12 +166,9 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``encoded`` (doc_id, token_ids) with decoded: the bytes of the tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path, pattern)
-        for batch in batches:
-            codes = [c or b"" for c in batch.column("token_ids").to_pylist()]
-            for part in _batches(codes, TEXT_AT_ONCE):
-                texts = [made.text(codes[i]) for i in part]
-                rows = batch.slice(part.start, len(part))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.binary())], [*rows.schema.names, "decoded"])
+        for rows in slices(batches, "token_ids", TEXT_AT_ONCE):
+            texts = [made.text(c or b"") for c in rows.column("token_ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.binary())], [*rows.schema.names, "decoded"])
 
     schema = encoded.select("doc_id", "token_ids", F.lit(b"").alias("decoded")).schema
     return encoded.select("doc_id", "token_ids").mapInArrow(run, schema)
@@ -194,13 +178,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, token_ids and decoded (the bytes of those tokens) in one pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path, pattern)
-        for batch in batches:
-            texts = bytes_of(batch.column("text"))
-            for part in _batches(texts, TEXT_AT_ONCE):
-                ids = [made.ids(texts[i].decode()) for i in part]
-                back = [made.text(i) for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(part.start, len(part)), pa.array(ids, pa.binary()), pa.array(back, pa.binary())], ["doc_id", "token_ids", "decoded"])
+        for rows in slices(batches, "text", TEXT_AT_ONCE):
+            ids = [made.ids(t.decode()) for t in bytes_of(rows.column("text"))]
+            back = [made.text(i) for i in ids]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array(back, pa.binary())], ["doc_id", "token_ids", "decoded"])
 
     schema = docs.select("doc_id", F.lit(b"").alias("token_ids"), F.lit(b"").alias("decoded")).schema
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -39,8 +39,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.diff(np.concatenate([[0], np.cumsum(_lengths(batch.column(text)))]))
-        piece = np.cumsum(sizes) // most
+        piece = np.cumsum(_lengths(batch.column(text)).astype(np.int64)) // most
         cuts = np.flatnonzero(np.diff(piece)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             if b > a:

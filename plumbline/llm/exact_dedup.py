@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, settle
+from .common import bytes_of, settle, slices
 
 COUNTERS = 1024
+TEXT_AT_ONCE = 4 << 20
 
 
 def with_digest(docs: DataFrame, text: str = "text", out: str = "digest_") -> DataFrame:
@@ -30,7 +31,7 @@ def with_digest(docs: DataFrame, text: str = "text", out: str = "digest_") -> Da
     schema = docs.select("*", F.lit(b"").alias(out)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text, TEXT_AT_ONCE):
             digests = [hashlib.sha256(t.lower()).digest() for t in bytes_of(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, out])
 

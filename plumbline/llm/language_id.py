@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, id_remainder, mix64
+from .common import bytes_of, id_remainder, mix64, settle, slices
 
 ORDER = 5
 PER_LANGUAGE = 2_000
@@ -40,7 +40,7 @@ UNSEEN = 1.0 / 65536  # the uniform distribution below order 1
 BORDER = "\x00"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 LETTERS = re.compile(r"[^\W\d_]+")
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 20
 
 
 def words_in(text: str) -> list[str]:
@@ -242,27 +242,24 @@ def _posterior(margin: np.ndarray, sharp: float) -> np.ndarray:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, order: int = ORDER) -> Identifier:
     """Models from rows with text, lang and doc_id; the sample bounds what reaches the driver."""
     learned = docs.filter("text is not null and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
-    rows = sample(learned, per_language).persist()
-    try:
-        counts: dict[str, dict[str, int]] = defaultdict(dict)
-        table = gram_counts(rows.filter("not apart"), order).toArrow()
-        for lang, gram, n in zip(*(table.column(c).to_pylist() for c in ("lang", "gram", "n"))):
-            counts[lang][gram] = n
-        made = Identifier(counts, order)
-        model = docs.sparkSession.sparkContext.broadcast(made)
-        langs = made.langs
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bits, sizes = model.value.entropies([t.decode() for t in bytes_of(batch.column("text"))])
-                yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(bits), pa.list_(pa.float64())), pa.array(sizes)], ["lang", "bits", "n"])
-
-        known = F.col("lang").isin(langs) if langs else F.lit(False)
-        table = rows.filter(F.col("apart") & known).select("lang", "text").mapInArrow(run, "lang string, bits array<double>, n bigint").toArrow()
-        if table.num_rows:
-            made.calibrate(np.array(table.column("bits").to_pylist()), table.column("n").to_numpy(), table.column("lang").to_pylist())
-    finally:
-        rows.unpersist()
+    rows = settle(sample(learned, per_language), "language-sample")
+    counts: dict[str, dict[str, int]] = defaultdict(dict)
+    table = gram_counts(rows.filter("not apart"), order).toArrow()
+    for lang, gram, n in zip(*(table.column(c).to_pylist() for c in ("lang", "gram", "n"))):
+        counts[lang][gram] = n
+    made = Identifier(counts, order)
+    model = docs.sparkSession.sparkContext.broadcast(made)
+    langs = made.langs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", TEXT_AT_ONCE):
+            bits, sizes = model.value.entropies([t.decode() for t in bytes_of(batch.column("text"))])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(bits), pa.list_(pa.float64())), pa.array(sizes)], ["lang", "bits", "n"])
+
+    known = F.col("lang").isin(langs) if langs else F.lit(False)
+    table = rows.filter(F.col("apart") & known).select("lang", "text").mapInArrow(run, "lang string, bits array<double>, n bigint").toArrow()
+    if table.num_rows:
+        made.calibrate(np.array(table.column("bits").to_pylist()), table.column("n").to_numpy(), table.column("lang").to_pylist())
     return made
 
 
@@ -272,15 +269,9 @@ def predict(docs: DataFrame, model: Identifier) -> DataFrame:
     names = ("lang_pred_", "lang_score_", "lang_rejected_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = bytes_of(batch.column("text"))
-            piece = np.cumsum([len(t) for t in raw]) // TEXT_AT_ONCE
-            cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(raw)]
-            for a, b in zip(cuts, cuts[1:]):
-                if b > a:
-                    langs, score, rejected = shared.value.predict([t.decode() for t in raw[a:b]])
-                    rows = batch.slice(a, b - a)
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], [*rows.schema.names, *names])
+        for rows in slices(batches, "text", TEXT_AT_ONCE):
+            langs, score, rejected = shared.value.predict([t.decode() for t in bytes_of(rows.column("text"))])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], [*rows.schema.names, *names])
 
     schema = docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(True).alias(names[2])).schema
     return docs.mapInArrow(run, schema)

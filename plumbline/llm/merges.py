@@ -11,7 +11,7 @@ import base64
 import json
 
 SINGLE = -1  # rank of a byte: there from the start
-PAIRS_HELD = 1 << 19
+PAIRS_HELD = 1 << 18
 
 
 class Merges:

@@ -21,7 +21,6 @@ component without any doc_id has a null id. An empty table gives an empty result
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, mix64, settle, words_of
+from .common import bytes_of, mix64, settle, slices, words_of
 
 SHINGLE = 4
 BITS = 4
@@ -39,6 +38,7 @@ PIVOTS = 16
 PER_PLACE = 32
 SPLIT_ABOVE = 4096
 AT_ONCE = 1 << 16
+TEXT_AT_ONCE = 4 << 20
 
 
 def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -67,7 +67,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, out: str = "fp") -
     schema = docs.select("*", F.lit(0).cast("bigint").alias(out)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", TEXT_AT_ONCE):
             fps = [fingerprint(shingle_hashes(t, shingle)) for t in bytes_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())], [*batch.schema.names, out])
 
