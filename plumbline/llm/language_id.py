@@ -7,10 +7,15 @@ hashes beside their backoff weights. A text has the language of lowest cross-ent
 character. Its score is that language's share of the calibrated posterior. Texts without
 letters, and null texts, are ``und`` with score 0.
 
-Rejection: on documents set apart from the counts, the cross-entropy under the right model has
-a mean and a variance that falls with length; a text whose best cross-entropy is more than
-``REJECT`` deviations above that mean is ``rejected``: it is written in no learned language.
-``REJECT`` is wide, so that clean text stays.
+Rejection: a text is ``rejected`` (written in no learned language) when its cross-entropy, every
+run of ``RUN`` words under the language it fits best, is above the bound of the text's language
+and length class. Passages in several learned languages therefore do not count as foreign. The bounds come from the
+documents set apart from the counts, whole and as pieces of the least length of each class:
+what that cross-entropy exceeds the language's median by has, per class,
+the bound as its quantile at ``1 - FALSE_REJECTS``. A language with under ``ENOUGH`` texts in a
+class takes the quantile over all languages; with under ``ENOUGH`` of those too, it is carried on
+from the upper fifth by an exponential tail: the mean excess, each at most ten times the median
+(so single outliers do not move it), at its upper confidence bound of two standard errors.
 
 The models are fitted on a bounded sample: per language about ``per_language`` documents (hash
 of the id under a threshold from the language's count), whole texts. Everything else reads all
@@ -35,7 +40,11 @@ from .common import bytes_of, id_remainder, mix64, settle, slices
 ORDER = 5
 PER_LANGUAGE = 2_000
 APART = 5  # one sampled document in so many calibrates
-REJECT = 12.0
+FALSE_REJECTS = 0.002  # share of texts in a learned language that may be rejected
+ENOUGH = 2_500  # texts whose quantile at 1 - FALSE_REJECTS does not hang on a few
+LENGTHS = np.array([0, 32, 128, 512])  # least characters of each length class
+RUN = 8  # words judged together, so that a text in several learned languages stays
+LEAST = 12  # characters of the pieces of the first class
 UNSEEN = 1.0 / 65536  # the uniform distribution below order 1
 BORDER = "\x00"
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -146,7 +155,7 @@ class Identifier:
         self.langs, self.order = sorted(counts, key=lambda s: s.encode()), order
         self.models = [Model(counts[lang], order) for lang in self.langs]
         self.sharp = 1.0
-        self.spread = [(0.0, 0.0, 0.0)] * len(self.langs)
+        self.bounds = np.full((len(self.langs), len(LENGTHS)), np.inf)
 
     def _word_logs(self, words: list[str]) -> np.ndarray:
         """log2 probability of each word under each language."""
@@ -181,22 +190,27 @@ class Identifier:
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Bits per character of each text under each language, and the characters."""
+        return self.measures(texts)[:2]
+
+    def measures(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entropies, and the bits per character with every run of words under its best language."""
         index: dict[str, int] = {}
         rows = [[index.setdefault(w, len(index)) for w in words_in(t)] for t in texts]
         lengths = np.array([len(w) + 1 for w in index], np.int64)
-        out, sizes = np.zeros((len(texts), len(self.models))), np.zeros(len(texts), np.int64)
+        out, sizes, fit = np.zeros((len(texts), len(self.models))), np.zeros(len(texts), np.int64), np.zeros(len(texts))
         if index and self.models:
             logs = self._word_logs(list(index))
             for i, row in enumerate(rows):
                 if row:
                     sizes[i] = lengths[row].sum()
-                    out[i] = -logs[row].sum(axis=0) / sizes[i]
+                    runs = np.add.reduceat(logs[row], np.arange(0, len(row), RUN), axis=0)
+                    out[i], fit[i] = -runs.sum(axis=0) / sizes[i], -runs.max(axis=1).sum() / sizes[i]
         elif index:
             sizes = np.array([lengths[row].sum() if row else 0 for row in rows])
-        return out, sizes
+        return out, sizes, fit
 
     def calibrate(self, bits: np.ndarray, sizes: np.ndarray, langs: list[str]) -> None:
-        """Sharpness of the posterior and the usual spread of right cross-entropies."""
+        """Sharpness of the posterior."""
         own = np.array([self.langs.index(lang) for lang in langs], int)
         ok = sizes > 0
         bits, sizes, own = bits[ok], sizes[ok], own[ok]
@@ -206,19 +220,33 @@ class Identifier:
         trials = np.geomspace(0.01, 10, 40)
         loss = [-np.mean(np.log(np.maximum(_posterior(margin, s)[np.arange(len(own)), own], 1e-12))) for s in trials]
         self.sharp = float(trials[int(np.argmin(loss))])
+
+    def bound(self, texts: list[tuple[int, float, int, bool]]) -> None:
+        """Bounds of rejection from (own language, bits per character by runs, characters, whole document)."""
+        rows = [t for t in texts if t[2] > 0]
+        own, bits, sizes, whole = (np.array(c) for c in zip(*rows)) if rows else (np.empty(0),) * 4
+        medians, above = np.full(len(self.langs), np.nan), [[np.empty(0)] * len(LENGTHS) for _ in self.langs]
         for m in range(len(self.langs)):
-            mine, n = bits[own == m, m], sizes[own == m]
-            if len(mine) > 1:
-                mean = float(np.average(mine, weights=n))
-                square = (mean - mine) ** 2
-                near, far = n <= np.median(n), n > np.median(n)
-                steady = float(square[far].mean()) if far.any() else float(square.mean())
-                short = float((square[near] * n[near]).mean())
-                self.spread[m] = (mean, steady + 1e-4, short + 1e-4)
+            mine = own == m
+            if not (mine & whole).any():
+                continue
+            medians[m] = np.median(bits[mine & whole])
+            kinds = length_class(sizes[mine])
+            for c in range(len(LENGTHS)):
+                above[m][c] = bits[mine][kinds == c] - medians[m]
+        if np.isnan(medians).all():
+            return
+        medians = np.where(np.isnan(medians), np.nanmax(medians), medians)  # no document apart
+        for c in range(len(LENGTHS)):
+            pooled = np.concatenate([a[c] for a in above])
+            if not len(pooled):
+                pooled = np.concatenate([x for a in above for x in a])
+            for m in range(len(self.langs)):
+                self.bounds[m, c] = medians[m] + highest(above[m][c] if len(above[m][c]) >= ENOUGH else pooled)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and rejection of each text."""
-        bits, sizes = self.entropies(texts)
+        bits, sizes, fit = self.measures(texts)
         score, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
         names = ["und"] * len(texts)
         rows = np.flatnonzero(sizes > 0) if self.models else []
@@ -226,14 +254,40 @@ class Identifier:
             best = bits[rows].argmin(axis=1)
             margin = (bits[rows] - bits[rows].min(axis=1, keepdims=True)) * np.sqrt(sizes[rows])[:, None]
             score[rows] = _posterior(margin, self.sharp)[np.arange(len(rows)), best]
-            mean, steady, short = np.array(self.spread)[best].T
-            usual = np.sqrt(steady + short / sizes[rows])
-            rejected[rows] = (mean > 0) & (bits[rows, best] > mean + REJECT * usual)
+            rejected[rows] = fit[rows] > self.bounds[best, length_class(sizes[rows])]
             for i, m in zip(rows.tolist(), best.tolist()):
                 names[i] = self.langs[m]
         return names, score, rejected
 
 
+def length_class(sizes: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LENGTHS, sizes, side="right") - 1
+
+
+def highest(above: np.ndarray) -> float:
+    """The quantile at ``1 - FALSE_REJECTS``; of few values, by the tail beyond their upper fifth."""
+    if len(above) >= ENOUGH:
+        return float(np.quantile(above, 1 - FALSE_REJECTS))
+    start = np.quantile(above, 0.8)
+    beyond = above[above > start] - start
+    scale = np.minimum(beyond, 10 * np.median(beyond)).mean() * (1 + 2 / np.sqrt(len(beyond))) if len(beyond) else 0.0
+    return float(start + max(scale, 0.05) * np.log(0.2 / FALSE_REJECTS))
+
+
+def pieces(text: str) -> list[str]:
+    """Words from the middle of a text, one piece of the least length of each class that the text reaches."""
+    words = words_in(text)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    out = []
+    for least in [LEAST, *LENGTHS[1:]]:
+        if not len(ends) or ends[-1] <= least:
+            break
+        first = int(np.searchsorted(ends, (ends[-1] - least) // 2))
+        last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + least))
+        out.append(" ".join(words[first:last + 1]))
+    return out
+
+
 def _posterior(margin: np.ndarray, sharp: float) -> np.ndarray:
     weights = np.exp(-sharp * margin)
     return weights / weights.sum(axis=1, keepdims=True)
@@ -253,13 +307,26 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, order: int = ORDER) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", TEXT_AT_ONCE):
-            bits, sizes = model.value.entropies([t.decode() for t in bytes_of(batch.column("text"))])
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(bits), pa.list_(pa.float64())), pa.array(sizes)], ["lang", "bits", "n"])
+            texts = [t.decode() for t in bytes_of(batch.column("text"))]
+            parts = [pieces(t) for t in texts]
+            bits, sizes, fit = model.value.measures([*texts, *(p for ps in parts for p in ps)])
+            cut, ends = len(texts), np.cumsum([0, *(len(ps) for ps in parts)])
+            per_row = lambda values: [values[a:b] for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), pa.array(list(bits[:cut]), pa.list_(pa.float64())), pa.array(sizes[:cut]), pa.array(fit[:cut]),
+                 pa.array(per_row(fit[cut:]), pa.list_(pa.float64())), pa.array(per_row(sizes[cut:]), pa.list_(pa.int64()))],
+                ["lang", "bits", "n", "fit", "part_fit", "part_n"])
 
     known = F.col("lang").isin(langs) if langs else F.lit(False)
-    table = rows.filter(F.col("apart") & known).select("lang", "text").mapInArrow(run, "lang string, bits array<double>, n bigint").toArrow()
+    table = rows.filter(F.col("apart") & known).select("lang", "text").mapInArrow(
+        run, "lang string, bits array<double>, n bigint, fit double, part_fit array<double>, part_n array<bigint>").toArrow()
     if table.num_rows:
         made.calibrate(np.array(table.column("bits").to_pylist()), table.column("n").to_numpy(), table.column("lang").to_pylist())
+        own, fit, n, part_fit, part_n = (table.column(c).to_pylist() for c in ("lang", "fit", "n", "part_fit", "part_n"))
+        own = [langs.index(lang) for lang in own]
+        texts = [(m, f, k, True) for m, f, k in zip(own, fit, n)]
+        texts += [(m, f, k, False) for m, fs, ks in zip(own, part_fit, part_n) for f, k in zip(fs, ks)]
+        made.bound(texts)
     return made
 
 

@@ -87,3 +87,25 @@ def test_odd_rows_and_foreign_text(spark, sf):
     assert L.identify(docs.limit(0)).count() == 0
     long = spark.createDataFrame([(1, "the thing and that " * 50_000)], "doc_id bigint, text string")
     assert L.predict(long, model).first().lang_pred_ == "en"
+
+
+@pytest.mark.parametrize("out", ["de", "en", "es", "fr"])
+def test_a_language_left_out_is_rejected(spark, out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null")
+    model = L.fit(docs.filter(L.learned_rows(F.col("doc_id")) & (F.col("lang") != out)))
+    rows = L.predict(docs.filter(F.col("lang") == out).orderBy("doc_id").limit(100), model).collect()
+    assert sum(r.lang_rejected_ for r in rows) >= 0.95 * len(rows)
+    own = L.predict(docs.filter(F.col("lang") != out), model).collect()
+    # some of these have passages in the language left out
+    assert sum(r.lang_rejected_ for r in own) <= 0.02 * len(own)
+
+
+def test_bounds_follow_the_quantile_and_not_single_outliers():
+    rng = np.random.default_rng(3)
+    many = rng.exponential(0.1, 50_000)
+    assert np.mean(many > L.highest(many)) == pytest.approx(L.FALSE_REJECTS, rel=0.1)
+    few = rng.exponential(0.1, 200)
+    assert L.highest(np.append(few, 100.0)) < 1.5 * L.highest(few)
+    made = L.Identifier({"aa": {"a": 1}, "bb": {"b": 1}}, 1)
+    made.bound([(0, 2.0 + x, 600, True) for x in few])
+    assert np.isfinite(made.bounds).all()  # also of the language without a document apart
