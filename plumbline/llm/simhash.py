@@ -21,7 +21,7 @@ component without any doc_id has a null id. An empty table gives an empty result
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -218,13 +218,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, p
     return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id", "root")
 
 
-def keep_one(docs: DataFrame, **parameters) -> DataFrame:
+def keep_one(docs: DataFrame, find: Callable = near_duplicates, mark: Callable = with_fingerprint, **parameters) -> DataFrame:
     """The documents that stay, all columns: one per component, with the smallest doc_id.
 
     A null id counts as the largest. Of rows of a component that share that id, the one with
     the smallest fingerprint stays, and one of rows that share that too.
     """
-    found = settle(near_duplicates(docs, **parameters), "components")
+    found = settle(find(docs, **parameters), "components")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
     firsts = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("id_"), F.col("first.fp").alias("fp_"))
     firsts = settle(firsts, "firsts")
@@ -234,6 +234,6 @@ def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     single = docs.join(gone, docs["doc_id"].eqNullSafe(gone["id_"]), "left_anti")
     if again.isEmpty():
         return single
-    some = with_fingerprint(docs.join(again, docs["doc_id"].eqNullSafe(again["id_"]), "left_semi"), out="doc_fp_")
+    some = mark(docs.join(again, docs["doc_id"].eqNullSafe(again["id_"]), "left_semi"), out="doc_fp_")
     some = some.join(firsts, some["doc_id"].eqNullSafe(firsts["id_"]) & (some["doc_fp_"] == firsts["fp_"]), "left_semi")
     return single.unionByName(some.dropDuplicates(["doc_id", "doc_fp_"]).drop("doc_fp_"))
