@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, language_id, mixing, near_sets
+from plumbline.llm import byte_bpe, exact_dedup, language_id, mixing, simhash
 from plumbline.llm.common import settle
 from plumbline.llm.queries import pattern, vocabulary
 
@@ -29,8 +29,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more of their five-word shingles, the one with the smallest doc_id."""
-    return near_sets.keep_similar_once(docs)
+    """Of documents linked by SimHash fingerprints of four-word shingles, 4 or fewer differing bits, the one with the smallest doc_id."""
+    return simhash.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
