@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, mixing, ngram_lm, quality, simhash, token_counts, url_rules, vectors
+from . import byte_bpe, exact_dedup, language_id, merkle, mixing, ngram_lm, quality, simhash, token_counts, url_rules, vectors
 from .common import read
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -69,6 +69,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP2_SQL = f"""
@@ -88,8 +92,38 @@ f AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS verdict FROM u LEFT JOIN f USING (page_id)
 """
 
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+# a checksum bit by bit: 3988292384 is the reversed polynomial of crc32
+_CRC = """list_reduce([4294967295::BIGINT] || flatten(list_transform(range(length(doc_id::VARCHAR)), lambda i:
+  list_transform(range(8), lambda k: (ascii(substr(doc_id::VARCHAR, i + 1, 1)) >> k::INT)::BIGINT & 1))), lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))"""
+_TREE = """{0}(level, tree, pos, digest, n) AS (
+  SELECT 0, tree, pos, digest, n FROM {1}
+  UNION ALL SELECT level + 1, tree, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM {0} WHERE n > 1 GROUP BY level, tree, pos // 3),
+{0}_near AS (
+  SELECT *, coalesce(lag(digest, 2) OVER w, '') || coalesce(lag(digest) OVER w, '') AS before, coalesce(lead(digest) OVER w, '') || coalesce(lead(digest, 2) OVER w, '') AS after
+  FROM {0} WINDOW w AS (PARTITION BY level, tree, pos // 3 ORDER BY pos))"""
+_CLIMB = """{0}_climb(r, level, tree, pos, h, proof) AS (
+  SELECT r, 0, tree, pos, h, proof FROM {1}
+  UNION ALL SELECT r, c.level + 1, tree, pos // 3, sha256(before || h || after), proof || before || after FROM {0}_climb c JOIN {0}_near USING (level, tree, pos) WHERE n > 1)"""
+OP13_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, sha256({_LEAF} || {_FIELD.format("text")}) AS digest,
+         sha256({_LEAF} || {_FIELD.format("(CASE WHEN " + _CRC + " & 1 = 1 THEN replace(text, chr(10), '') ELSE text END)")}) AS h FROM documents),
+p AS (
+  SELECT r, doc_id, digest, h, '' AS proof, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d),
+{_TREE.format("low", "p")}, {_CLIMB.format("low", "p")},
+s AS (SELECT -1 AS tree, tree AS pos, digest, count(*) OVER () AS n FROM low WHERE n = 1),
+{_TREE.format("top", "s")},
+u AS (SELECT r, -1 AS tree, c.tree AS pos, h, proof, digest AS subroot FROM low_climb c JOIN low USING (level, tree, pos) WHERE n = 1), {_CLIMB.format("top", "u")},
+root AS (SELECT digest AS root FROM top WHERE n = 1)
+SELECT doc_id, p.digest AS leaf, subroot, root, sha256(c.proof) AS proof_sha256, c.h AS folded_root, c.h = root AS verified
+FROM top_climb c JOIN top ON c.level = top.level AND c.pos = top.pos AND top.n = 1 JOIN p USING (r) JOIN u USING (r), root
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_exact_dedup, op3_mixing, op4_nearest, op5_lm_scores, op6_token_counts, op7_language_id, op8_simhash, op9_url_rules,
-        op10_byte_bpe)}
-ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_url_rules": OP9_SQL}
+        op10_byte_bpe, op13_merkle)}
+ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_url_rules": OP9_SQL, "op13_merkle": OP13_SQL}
