@@ -317,10 +317,12 @@ def align(docs: DataFrame, path_a: str, pattern: str, path_b: str, spill: int =
     light = runs.filter(~F.col("part").isin(list(groups))) if groups else runs
     gains = light.groupBy("part").applyInArrow(_light, "spill bigint, gains binary")
     if groups:
-        shares = F.broadcast(docs.sparkSession.createDataFrame(list(groups.items()), "part int, shares bigint"))
-        split = runs.join(shares, "part").withColumn("share", F.pmod(F.xxhash64("spill"), F.col("shares")))
+        def shares() -> DataFrame:
+            return F.broadcast(docs.sparkSession.createDataFrame(list(groups.items()), "part int, shares bigint"))
+
+        split = runs.join(shares(), "part").withColumn("share", F.pmod(F.xxhash64("spill"), F.col("shares")))
         counted = split.groupBy("part", "share").applyInArrow(_count, "part int, pair bigint, links bigint").groupBy("part", "pair").agg(F.sum("links").alias("links"))
-        counted = settle(counted, "pairs").join(shares, "part").withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)))
+        counted = settle(counted, "pairs").join(shares(), "part").withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)))
         streamed = split.groupBy("part", "share").cogroup(counted.groupBy("part", "share")).applyInArrow(_heavy, "spill bigint, gains binary")
         gains = gains.unionByName(streamed)
     summed = gains.groupBy("spill").applyInArrow(_sum, "spill bigint, doc int, n_best bigint, count_sum bigint")
