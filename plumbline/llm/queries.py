@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, merkle, mixing, ngram_lm, quality, simhash, token_alignment, token_counts, url_rules, vectors
+from . import byte_bpe, exact_dedup, language_id, merkle, mixing, ngram_lm, quality, repeats, simhash, token_alignment, token_counts, url_rules, vectors
 from .common import read
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -69,6 +69,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
 
 
+def repeat_digests(rows: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of texts without their repeats."""
+    return rows.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(repeats.without_repeats(read(spark, sf_dir, "documents")))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), pattern(), vocabulary("piece_bpe_32k.model"))
 
@@ -129,5 +140,5 @@ FROM top_climb c JOIN top ON c.level = top.level AND c.pos = top.pos AND top.n =
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_exact_dedup, op3_mixing, op4_nearest, op5_lm_scores, op6_token_counts, op7_language_id, op8_simhash, op9_url_rules,
-        op10_byte_bpe, op12_alignment, op13_merkle)}
+        op10_byte_bpe, op11_repeats, op12_alignment, op13_merkle)}
 ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op9_url_rules": OP9_SQL, "op13_merkle": OP13_SQL}
