@@ -8,9 +8,10 @@ same way into the root.
 
 Built levels are stored as node rows that name their parent. A link spans ``LEVELS`` levels: the
 row of a node holds, level by level, the siblings before and after its path, so a climb takes a
-seventh of the steps and a proof is carried through few of them. One recursive query then
-ascends from every leaf at once: it appends the siblings of the row it stands on to the proof,
-folds the (possibly tampered) hash with them and goes on at the parent.
+seventh of the steps. A recursive query then ascends from every leaf at once: it folds the
+(possibly tampered) hash with the siblings of the row it stands on and goes on at the parent.
+Siblings are appended to the proof in the same way; as those above a block are the same for all
+its leaves, that query starts once per block, and a leaf puts its own siblings before them.
 
 Leaves are numbered by a range sort: numbers inside a range, and one running sum over the sizes
 of the ranges, so a source with a third of all rows is many ranges. A block of a tree is at most
@@ -65,10 +66,9 @@ def numbered(rows: DataFrame, *order: str) -> DataFrame:
 def _block(run: int, levels: int):
     """A function that climbs ``levels`` levels of one block of a tree."""
     def climb(group: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("pos", "digest", "leaves"))))
-        n = group.column("n")[0].as_py()
-        level, width, count = [r[1] for r in rows], 1, len(rows)
-        before, after = [[] for _ in rows], [[] for _ in rows]
+        group = group.sort_by("pos").drop_columns("block")
+        n, count, level, width = group.column("n")[0].as_py(), group.num_rows, group.column("digest").to_pylist(), 1
+        before, after = [[] for _ in range(count)], [[] for _ in range(count)]
         for _ in range(sum(n > run ** k for k in range(levels))):
             for i in range(count):
                 at = i // width
@@ -77,38 +77,34 @@ def _block(run: int, levels: int):
                 after[i].append("".join(level[at + 1:start + run]))
             level = [hashlib.sha256("".join(level[k:k + run]).encode()).hexdigest() for k in range(0, len(level), run)]
             width *= run
-        return pa.Table.from_pydict({
-            "tree": [group.column("tree")[0].as_py()] * count, "pos": [r[0] for r in rows], "n": [n] * count, "digest": [r[1] for r in rows],
-            "before": before, "after": after, "leaves": [r[2] for r in rows], "head": [level[0]] + [None] * (count - 1),
-            "below": [sum(r[2] for r in rows)] * count}, BUILT)
+        for name, values in (("before", before), ("after", after)):
+            group = group.append_column(name, pa.array(values, pa.list_(pa.string())))
+        group = group.append_column("head", pa.array([level[0]] + [None] * (count - 1), pa.string()))
+        return group.append_column("below", pa.array([sum(group.column("leaves").to_pylist())] * count, pa.int64()))
 
     return climb
 
 
-BUILT = pa.schema([
-    ("tree", pa.int64()), ("pos", pa.int64()), ("n", pa.int64()), ("digest", pa.string()), ("before", pa.list_(pa.string())),
-    ("after", pa.list_(pa.string())), ("leaves", pa.int64()), ("head", pa.string()), ("below", pa.int64())])
-BUILT_SQL = "tree bigint, pos bigint, n bigint, digest string, before array<string>, after array<string>, leaves bigint, head string, below bigint"
-
-
-def _name(tree, stage: int, pos) -> Column:
-    return F.concat_ws("/", F.col(tree).cast("string") if isinstance(tree, str) else F.lit(str(tree)), F.lit(str(stage)), pos.cast("string"))
+def _name(tree: Column, stage: int, pos: Column) -> Column:
+    return F.concat_ws("/", tree.cast("string"), F.lit(str(stage)), pos.cast("string"))
 
 
 def grow(nodes: DataFrame, above: Column, run: int = RUN, levels: int = LEVELS) -> tuple[list[DataFrame], DataFrame]:
     """Node rows stage by stage, and the last node of each tree (tree, digest, leaves).
 
-    ``nodes``: tree, pos, digest, n (nodes of the tree), leaves (below the node). A node row has
-    name, parent (``above`` where the tree ends), tree, pos, digest, before, after, leaves.
+    ``nodes``: tree, pos, digest, n (nodes of the tree), leaves (below the node); further columns
+    are carried by the first stage. A node row adds name, parent (``above`` where the tree ends),
+    before and after (the siblings level by level).
     """
     stages, ends, width = [], [], run ** levels
     while True:
         block = F.floor(F.col("pos") / width)
-        built = settle(nodes.withColumn("block", block).groupBy("tree", "block").applyInArrow(_block(run, levels), BUILT_SQL), "nodes")
+        more = [F.lit(None).cast(t).alias(n) for n, t in (("before", "array<string>"), ("after", "array<string>"), ("head", "string"), ("below", "bigint"))]
+        schema = nodes.select("*", *more).schema
+        built = settle(nodes.withColumn("block", block).groupBy("tree", "block").applyInArrow(_block(run, levels), schema), "nodes")
         stage = len(stages)
-        stages.append(built.select(
-            _name("tree", stage, F.col("pos")).alias("name"), F.when(F.col("n") > width, _name("tree", stage + 1, block)).otherwise(above).alias("parent"),
-            "tree", "pos", "digest", "before", "after", "leaves"))
+        parent = F.when(F.col("n") > width, _name(F.col("tree"), stage + 1, block)).otherwise(above)
+        stages.append(built.select(_name(F.col("tree"), stage, F.col("pos")).alias("name"), parent.alias("parent"), *nodes.columns, "before", "after"))
         heads = built.filter("head is not null").select(
             "tree", block.alias("pos"), F.col("head").alias("digest"), F.ceil(F.col("n") / width).alias("n"), F.col("below").alias("leaves"))
         ends.append(heads.filter("n = 1").drop("pos", "n"))
@@ -117,33 +113,35 @@ def grow(nodes: DataFrame, above: Column, run: int = RUN, levels: int = LEVELS)
             return stages, reduce(DataFrame.unionByName, ends)
 
 
-FOLD = "aggregate(zip_with({0}before, {0}after, (b, a) -> struct(b, a)), {1}, (h, s) -> sha2(concat(s.b, h, s.a), 256))"
-PROOF = "unhex(array_join(zip_with(before, after, (b, a) -> concat(b, a)), ''))"
+def _fold(start: str, before: str = "before", after: str = "after") -> str:
+    return f"aggregate(zip_with({before}, {after}, (b, a) -> struct(b, a)), {start}, (h, s) -> sha2(concat(s.b, h, s.a), 256))"
+
+
+PART = "unhex(array_join(zip_with(before, after, (b, a) -> concat(b, a)), ''))"
 
 
-def climb(leaves: DataFrame, lower: DataFrame, upper: DataFrame) -> DataFrame:
-    """doc_id, digest, subroot, folded, proof (siblings as bytes) of every leaf, at the root.
+def climb(starts: DataFrame, lower: DataFrame, upper: DataFrame, proofs: bool) -> DataFrame:
+    """name, folded, subroot (of the tree it leaves), proof (siblings as bytes) of every start, at the root.
 
-    ``leaves``: doc_id, parent, digest, tampered, before, after. ``lower`` and ``upper`` hold the
-    node rows above them; ``upper`` is small and broadcast, ``lower`` None where nothing is left.
+    ``starts``: name, at (where it stands), folded. ``lower`` and ``upper`` hold the node rows;
+    ``upper`` is bounded and broadcast, ``lower`` is None where nothing is left.
     """
-    spark = leaves.sparkSession
-    node = "coalesce(u.{0}, l.{0})" if lower is not None else "u.{0}"
-    steps = {c: node.format(c) for c in ("parent", "before", "after", "part", "subroot", "name")}
-    fold = FOLD.format("", "c.folded").replace("before", steps["before"]).replace("after", steps["after"])
+    spark = starts.sparkSession
+    here = {c: f"coalesce(u.{c}, l.{c})" if lower is not None else f"u.{c}" for c in ("name", "parent", "before", "after", "part", "subroot")}
+    proof = f"concat(c.proof, {here['part']})" if proofs else "c.proof"
     query = f"""
-    WITH RECURSIVE climb(doc_id, digest, at, subroot, folded, proof) AS (
-      SELECT doc_id, digest, parent, CAST(NULL AS STRING), {FOLD.format("", "tampered")}, {PROOF} FROM {{leaves}}
+    WITH RECURSIVE climb(name, at, folded, subroot, proof) AS (
+      SELECT name, at, folded, CAST(NULL AS STRING), CAST('' AS BINARY) FROM {{starts}}
       UNION ALL
-      SELECT /*+ BROADCAST(u) */ c.doc_id, c.digest, {steps["parent"]}, coalesce(c.subroot, {steps["subroot"]}), {fold}, concat(c.proof, {steps["part"]})
+      SELECT /*+ BROADCAST(u) */ c.name, {here["parent"]}, {_fold("c.folded", here["before"], here["after"])}, coalesce(c.subroot, {here["subroot"]}), {proof}
       FROM climb c {"LEFT JOIN {lower} l ON c.at = l.name" if lower is not None else ""} LEFT JOIN {{upper}} u ON c.at = u.name
-      WHERE {steps["name"]} IS NOT NULL)
-    SELECT doc_id, digest, subroot, folded, proof FROM climb WHERE at IS NULL"""
+      WHERE {here["name"]} IS NOT NULL)
+    SELECT name, folded, subroot, proof FROM climb WHERE at IS NULL"""
     limit = "spark.sql.cteRecursionRowLimit"  # by default a million rows over all steps
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")
     try:
-        return settle(spark.sql(query, leaves=leaves, upper=upper, **({"lower": lower} if lower is not None else {})), "climb")
+        return settle(spark.sql(query, starts=starts, upper=upper, **({"lower": lower} if lower is not None else {})), "climb")
     finally:
         spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
 
@@ -158,24 +156,26 @@ def manifest(docs: DataFrame, run: int = RUN, levels: int = LEVELS, hot: int = H
     rows = numbered(rows, "source", "doc_id", "digest")
     sources = numbered(rows.groupBy("source").agg(F.min("index").alias("start"), F.count(F.lit(1)).alias("n")), "start")
     sources = sources.select(F.col("source").alias("source_"), "start", "n", F.col("index").alias("tree"))
-    placed = settle(rows.join(sources, rows["source"].eqNullSafe(sources["source_"])).select(
-        "tree", (F.col("index") - F.col("start")).alias("pos"), "n", "doc_id", "digest", "tampered"), "placed")
-    total = placed.count()
-    stages, subroots = grow(
-        placed.select("tree", "pos", "digest", "n", F.lit(1).cast("bigint").alias("leaves")), _name(TOP, 0, F.col("tree")), run, levels)
-    tops = subroots.select(F.lit(TOP).cast("bigint").alias("tree"), F.col("tree").alias("pos"), "digest", F.lit(subroots.count()).cast("bigint").alias("n"), "leaves")
-    top_stages, root = grow(tops, F.lit(None).cast("string"), run, levels)
-    found = root.first()
-    above = [s.withColumn("subroot", F.lit(None).cast("string")) for s in stages[1:] + top_stages[1:]]
-    above.append(top_stages[0].withColumn("subroot", F.col("digest")))
-    above = reduce(DataFrame.unionByName, above).withColumn("part", F.expr(PROOF)).drop("tree", "pos", "digest")
-    above = settle(above, "above")
-    bound = max(1.0, total / hot)  # so that a stage has at most ``hot`` nodes of this size
-    lower = above.filter(F.col("leaves") < bound)
-    first = stages[0].alias("a").join(placed.alias("b"), ["tree", "pos"]).select(
-        "doc_id", "a.digest", F.coalesce("tampered", "a.digest").alias("tampered"), "parent", "before", "after")
-    done = climb(first, None if lower.isEmpty() else lower, above.filter(F.col("leaves") >= bound))
-    return done.select(
-        "doc_id", F.col("digest").alias("leaf"), "subroot", F.lit(found and found.digest).cast("string").alias("root"),
-        F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"), F.col("folded").alias("folded_root"),
-        (F.col("folded") == F.lit(found and found.digest)).alias("verified"))
+    placed = rows.join(sources, rows["source"].eqNullSafe(sources["source_"])).select(
+        "tree", (F.col("index") - F.col("start")).alias("pos"), "digest", "n", F.lit(1).cast("bigint").alias("leaves"), "doc_id", "tampered")
+    stages, subroots = grow(placed, _name(F.lit(TOP), 0, F.col("tree")), run, levels)
+    top = F.lit(TOP).cast("bigint").alias("tree")
+    top_stages, root = grow(subroots.select(top, F.col("tree").alias("pos"), "digest", F.lit(subroots.count()).cast("bigint").alias("n"), "leaves"), F.lit(None).cast("string"), run, levels)
+    end = root.first()
+    columns = ["name", "parent", "before", "after", "leaves", F.expr(PART).alias("part")]
+    above = [s.select(*columns, F.lit(None).cast("string").alias("subroot")) for s in stages[1:] + top_stages[1:]]
+    above = settle(reduce(DataFrame.unionByName, [top_stages[0].select(*columns, F.col("digest").alias("subroot")), *above]), "above")
+    bound = max(1.0, (end.leaves if end else 0) / hot)  # so that a stage has at most ``hot`` nodes of this size
+    lower, upper = above.filter(F.col("leaves") < bound), above.filter(F.col("leaves") >= bound)
+    lower = None if lower.isEmpty() else lower
+    folded = F.expr(_fold("coalesce(tampered, digest)"))
+    leaves = climb(stages[0].select("name", F.col("parent").alias("at"), folded.alias("folded")), lower, upper, proofs=False)
+    # all leaves of a block have the siblings above it in common
+    blocks = climb(stages[0].groupBy(F.col("parent").alias("name")).agg(F.first("parent").alias("at"), F.lit("").alias("folded")), lower, upper, proofs=True)
+    own = stages[0].select("name", F.col("parent").alias("block_"), "doc_id", "digest", F.expr(PART).alias("own"))
+    joined = own.join(leaves.select("name", F.col("folded").alias("folded_root")), "name")
+    joined = joined.join(blocks.select(F.col("name").alias("block_"), "subroot", "proof"), "block_")
+    expected = F.lit(end and end.digest).cast("string")
+    return joined.select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", expected.alias("root"),
+        F.sha2(F.lower(F.hex(F.concat("own", "proof"))).cast("binary"), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == expected).alias("verified"))
