@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 from ..operators.scoring import DIMENSIONS
+from .commit_log import CommitLog
 
 
 class ResultStore:
-    """Three append-only tables under one shared folder.
-
-    ``run_id`` is unique in the log and the summary: rows whose id is already stored are
-    dropped by an anti join before the append, so a retried write adds nothing, and of rows
-    that repeat an id inside one append one is kept. Two writers at the same time are not
-    guarded against each other.
-    Detail rows are partitioned by run, and reading one run opens only its folder.
+    """Three append-only tables under one shared folder, each with a commit log.
+
+    ``run_id`` is unique: rows whose id is already stored are dropped before the append, so a
+    retried write adds nothing, and of rows that repeat an id inside one append to the log or
+    the summary one is kept. Writers may append at the same time: rows become visible by a
+    numbered manifest (see ``commit_log``), and the writer that comes second to a number drops
+    the runs the first one stored. A writer that crashes leaves nothing visible.
+    Detail rows are partitioned by run, and reading one run opens only its folders.
     """
 
     TABLES = {
@@ -29,27 +30,43 @@ class ResultStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def log(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/{table}")
+
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        """The rows as of a version (the last one, if not given)."""
+        log = self.log(table)
+        return self._rows(log, table, log.snapshot(version).folders)
 
-    def read(self, table: str) -> DataFrame:
+    def _rows(self, log: CommitLog, table: str, folders) -> DataFrame:
         schema, _ = self.TABLES[table]
-        names = schema.fieldNames()
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table)).select(*names)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
+        if not folders:
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", log.location("data")).parquet(*[log.location(f) for f in folders]).select(*schema.fieldNames())
 
-    def _append(self, rows: DataFrame, table: str) -> None:
+    def _stage(self, log: CommitLog, table: str, rows: DataFrame) -> tuple[str, DataFrame]:
+        """Write rows to a folder of their own; no reader sees it yet."""
         schema, parts = self.TABLES[table]
+        folder = log.stage()
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        writer = typed.write.mode("append")
-        (writer.partitionBy(*parts) if parts else writer).parquet(self.path(table))
+        writer = typed.write.mode("errorifexists")
+        (writer.partitionBy(*parts) if parts else writer).parquet(log.location(folder))
+        return folder, self._rows(log, table, [folder])
 
-    def _new_runs(self, rows: DataFrame, table: str) -> DataFrame:
-        return rows.join(self.read(table).select("run_id").distinct(), "run_id", "left_anti")
+    def _append(self, rows: DataFrame, table: str) -> None:
+        log = self.log(table)
+        base = log.snapshot()
+        stored = self._rows(log, table, base.folders)
+        folder, staged = self._stage(log, table, rows.join(stored.select("run_id").distinct(), "run_id", "left_anti"))
+        while not staged.isEmpty():
+            if log.publish(base, [folder]):
+                return
+            last = log.snapshot()
+            added = [f for f in last.folders if f not in set(base.folders)]
+            theirs = self._rows(log, table, added).select("run_id").distinct()
+            if not staged.join(theirs, "run_id", "left_semi").isEmpty():
+                folder, staged = self._stage(log, table, staged.join(theirs, "run_id", "left_anti"))
+            base = last
 
     def _one_per_run(self, rows: DataFrame) -> DataFrame:
         """Of rows with one run_id the first in the order of their values."""
@@ -57,11 +74,11 @@ class ResultStore:
         return least.select("run_id", "_row.*").select(*rows.columns)
 
     def append_run_log(self, runs: DataFrame) -> None:
-        self._append(self._one_per_run(self._new_runs(runs, "dq_run_log")), "dq_run_log")
+        self._append(self._one_per_run(runs), "dq_run_log")
 
     def append_results(self, results: DataFrame) -> None:
         """Adds nothing for an empty input."""
-        self._append(self._new_runs(results, "dq_results"), "dq_results")
+        self._append(results, "dq_results")
 
     def append_summary(self, scores: DataFrame) -> None:
         """Flat summary rows; a missing dimension score is stored as 100."""
@@ -70,7 +87,21 @@ class ResultStore:
             name = f"score_{d}"
             value = F.coalesce(F.col(name), F.lit(100.0)) if name in cols else F.lit(100.0)
             scores = scores.withColumn(name, value)
-        self._append(self._one_per_run(self._new_runs(scores, "dq_summary")), "dq_summary")
+        self._append(self._one_per_run(scores), "dq_summary")
+
+    def compact(self, table: str) -> bool:
+        """Merge all folders of a table into one; False if a writer came in between (nothing changes then).
+
+        Readers of earlier versions keep their folders.
+        """
+        log = self.log(table)
+        base = log.snapshot()
+        if len(base.folders) < 2:
+            return True
+        _, parts = self.TABLES[table]
+        rows = self._rows(log, table, base.folders)
+        folder, _ = self._stage(log, table, rows.repartition(*parts) if parts else rows.coalesce(1))
+        return log.publish(base, [folder], base.folders)
 
 
 def refresh_tables(tables: dict[str, DataFrame], root: str, partition_by: dict[str, list[str]] | None = None) -> None:
