@@ -108,28 +108,46 @@ def recent_enough(rule: str, df: DataFrame, key: str, time: str, as_of: Column,
     return _one(latest, rule, F.count("*"), F.count_if(~ok))
 
 
-def steady_arrival(rule: str, df: DataFrame, keys: list[Column], time: str, limit_seconds: int) -> DataFrame:
-    """Consecutive rows of a key must be at most ``limit_seconds`` apart; first rows are out of scope.
+BLOCK_SLICES = 4096  # slices of one key that one window sorts
+
+
+def arrival_blocks(df: DataFrame, keys: list[Column], time: str, limit_seconds: int, block_slices: int = BLOCK_SLICES) -> DataFrame:
+    """Gaps inside blocks of time: keys (``_k0`` on), block, rows, late gaps, first and last time.
 
     Time is cut into slices as wide as the limit. Two rows of one slice are always close
-    enough, so a slice needs only its count, first and last time (map-side combined);
-    gaps are then measured between neighbouring slices. The result is exact while the
-    window sorts slices instead of rows.
+    enough, so a slice needs only its count, first and last time (map-side combined). A block
+    is ``block_slices`` neighbouring slices of a key; the blocks of one key are spread over all
+    tasks and each is scanned by itself.
     """
-    micros = wall_micros(F.col(time))
     limit = limit_seconds * 1_000_000
     named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
     slices = (
-        df.select(*named, micros.alias("_t"))
-        .groupBy(*names, (F.col("_t") - F.pmod(F.col("_t"), F.lit(limit))).alias("_slice"))
+        df.select(*named, wall_micros(F.col(time)).alias("_t"))
+        .groupBy(*names, F.floor(F.col("_t") / limit).alias("_slice"))
         .agg(F.count("*").alias("_n"), F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+        .withColumn("_block", F.floor(F.col("_slice") / block_slices))
     )
-    prev = F.lag("_last").over(Window.partitionBy(*names).orderBy("_slice"))
-    gaps = slices.withColumn("_gap", F.col("_first") - prev)
-    inside = F.sum(F.col("_n") - 1)
-    between = F.count("_gap")
-    return _one(gaps, rule, inside + between, F.count_if(F.col("_gap") > limit))
+    prev = F.lag("_last").over(Window.partitionBy(*names, "_block").orderBy("_slice"))
+    return slices.withColumn("_gap", F.col("_first") - prev).groupBy(*names, "_block").agg(
+        F.sum("_n").alias("_n"), F.count_if(F.col("_gap") > limit).alias("_late"), F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+
+
+def steady_arrival(rule: str, df: DataFrame, keys: list[Column], time: str, limit_seconds: int, block_slices: int = BLOCK_SLICES) -> DataFrame:
+    """Consecutive rows of a key must be at most ``limit_seconds`` apart; first rows are out of scope.
+
+    A carry scan: gaps are measured inside blocks of time (``arrival_blocks``), and the last
+    time of each block is handed to the key's next one. Every row of a key but the first ends a
+    gap, inside a slice, a block or between blocks, so the result is exact; the second window
+    holds one row per block, so a key with all rows of the table is no single task. Rows
+    without a time are in no gap, as before the first.
+    """
+    blocks = arrival_blocks(df, keys, time, limit_seconds, block_slices)
+    names = [c for c in blocks.columns if c.startswith("_k")]
+    handed = F.lag("_last").over(Window.partitionBy(*names).orderBy("_block"))
+    met = blocks.withColumn("_gap", F.col("_first") - handed)
+    late = F.sum("_late") + F.count_if(F.col("_gap") > limit_seconds * 1_000_000)
+    return _one(met, rule, F.sum(F.col("_n") - 1) + F.count("_gap"), late)
 
 
 def daily_deadline(rule: str, df: DataFrame, keys: list[str], time: str, first_before: int | None = None, last_from: int | None = None) -> DataFrame:

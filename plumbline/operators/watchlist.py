@@ -13,26 +13,56 @@ TRENDS = {"null": "null_rate_trend", "dup": "duplicate_rate_trend", "fail": "con
 
 
 PROFILE = ("cells", "null_cells", "profiled_rows", "dup_rows")
+SKETCH = 16  # a sketch counts up to 2^16 keys exactly; beyond that its relative error is about 0.4 %
 
 
-def profile(df: DataFrame, columns: list[str], key: list[str], by: list[str]) -> DataFrame:
-    """Null cells of ``columns`` and repeated rows of ``key``, per ``by``; the measures are additive.
+def key_counts(df: DataFrame, columns: list[str], key: list[str], by: list[str]) -> DataFrame:
+    """Rows and null cells of ``columns`` per ``by`` and ``key``: what all profiles are summed from.
 
-    Rows are counted per key first (map-side combined), so a key with very many rows is one
-    row afterwards. Null keys are equal to each other.
+    Map-side combined, so a key with very many rows is one row afterwards. Null keys are equal
+    to each other.
     """
     nulls = add_all([F.col(x).isNull().cast("long") for x in columns])
-    per_key = df.groupBy(*by, *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).agg(F.count("*").alias("_n"), F.sum(nulls).alias("_nulls"))
-    return per_key.groupBy(*by).agg(
-        (F.sum("_n") * len(columns)).alias("cells"), F.sum("_nulls").alias("null_cells"),
-        F.sum("_n").alias("profiled_rows"), F.sum(F.col("_n") - 1).alias("dup_rows"))
+    return df.groupBy(*by, *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).agg(F.count("*").alias("_n"), F.sum(nulls).alias("_nulls"))
+
+
+def profile_of(counts: DataFrame, width: int, by: list[str], sketched: list[str] | None = None) -> DataFrame:
+    """A profile per ``by`` of ``width`` columns from ``key_counts``.
+
+    All measures are sums. Repeats are counted inside a group; keys that come again in another
+    group are seen only by ``key_sketch``, a mergeable sketch of the distinct values of the
+    columns ``sketched`` (which must contain the key).
+    """
+    sketch = [] if sketched is None else [F.theta_sketch_agg(F.xxhash64(*sketched), F.lit(SKETCH)).alias("key_sketch")]
+    return counts.groupBy(*by).agg(
+        (F.sum("_n") * width).alias("cells"), F.sum("_nulls").alias("null_cells"),
+        F.sum("_n").alias("profiled_rows"), F.sum(F.col("_n") - 1).alias("dup_rows"), *sketch)
+
+
+def profile(df: DataFrame, columns: list[str], key: list[str], by: list[str]) -> DataFrame:
+    """Null cells of ``columns`` and repeated rows of ``key``, per ``by``; the measures are additive."""
+    return profile_of(key_counts(df, columns, key, by), len(columns), by)
 
 
 def roll_up_profile(measured: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum a profile to coarser keys."""
+    """Sum a profile to coarser keys; repeats stay those inside the finer groups."""
     return measured.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in PROFILE])
 
 
+def period_duplicates(counts: DataFrame, key: list[str], end: Column, split: int = V.TREND_SPLIT_DAYS, early_days: int = V.TREND_SPLIT_DAYS) -> DataFrame:
+    """Share of rows per dataset and period whose key came before in that period, in percent.
+
+    ``counts`` has dataset_id, test_date, the columns ``key`` and ``_n``. Exact, in two levels:
+    the days of a key are summed first, so only (dataset, key) rows are shuffled and a key that
+    comes on many days is one row.
+    """
+    early, recent = _periods(end, split, early_days)
+    per_key = counts.filter(early | recent).groupBy("dataset_id", *key).agg(
+        *[F.coalesce(F.sum(F.when(p, F.col("_n"))), F.lit(0)).alias(n) for p, n in ((early, "_early"), (recent, "_recent"))])
+    return per_key.groupBy("dataset_id").agg(*[
+        _rate(F.sum(F.col(f"_{n}")) - F.count_if(F.col(f"_{n}") > 0), F.sum(f"_{n}")).alias(f"duplicate_rate_{n}") for n in ("early", "recent")])
+
+
 def daily_failures(tests: DataFrame) -> DataFrame:
     """Additive failure-rate sums per (dataset, day)."""
     return tests.groupBy("dataset_id", "test_date").agg(
@@ -48,16 +78,27 @@ def _mean(units: Column, n: Column) -> Column:
     return F.try_divide(units, F.lit(100.0) * n)
 
 
+def _repeats(rows: Column, keys: Column) -> Column:
+    """Rows less the distinct keys that a sketch counts."""
+    return F.greatest(rows - F.round(F.theta_sketch_estimate(keys)).cast("long"), F.lit(0))
+
+
 def _periods(end: Column, split: int, early_days: int) -> tuple[Column, Column]:
     """Early and recent period before ``end``: the same bounds as ``history`` has on each day."""
     day, cut = F.col("test_date"), F.date_sub(end, split)
     return (day > F.date_sub(cut, early_days)) & (day <= cut), (day > cut) & (day <= end)
 
 
-def period_rates(tests: DataFrame, profile: DataFrame, as_of=None, split: int = V.TREND_SPLIT_DAYS, early_days: int = V.TREND_SPLIT_DAYS) -> DataFrame:
+def period_rates(
+    tests: DataFrame, profile: DataFrame, as_of=None, split: int = V.TREND_SPLIT_DAYS, early_days: int = V.TREND_SPLIT_DAYS,
+    counts: DataFrame | None = None, key: list[str] | None = None,
+) -> DataFrame:
     """Unrounded early and recent rates per dataset; a dataset without both periods is left out.
 
-    Recent is after ``as_of - split`` up to ``as_of``, early the ``early_days`` before that.
+    Recent is after ``as_of - split`` up to ``as_of``, early the ``early_days`` before that. A row
+    is a duplicate when its key came before in the same period: counted exactly from ``counts``
+    (see ``period_duplicates``), else by the sketches of the profile. A profile without sketches
+    sees repeats inside a day only.
     """
     end = as_of_date(tests, as_of)
     c = F.col
@@ -76,11 +117,15 @@ def period_rates(tests: DataFrame, profile: DataFrame, as_of=None, split: int =
     failures = both(tests, {
         "control_failure_rate": lambda p: _mean(F.sum(F.when(p, hundredths(c("failure_rate")))), F.count_if(p)),
     })
-    measured = both(profile, {
-        "null_rate": lambda p: _rate(total("null_cells")(p), total("cells")(p)),
-        "duplicate_rate": lambda p: _rate(total("dup_rows")(p), total("profiled_rows")(p)),
-    })
-    rates = failures.join(measured, "dataset_id")
+    def repeats(p):
+        return _repeats(total("profiled_rows")(p), F.theta_union_agg(F.when(p, c("key_sketch")), F.lit(SKETCH))) if "key_sketch" in profile.columns else total("dup_rows")(p)
+
+    specs = {"null_rate": lambda p: _rate(total("null_cells")(p), total("cells")(p))}
+    if counts is None:
+        specs["duplicate_rate"] = lambda p: _rate(repeats(p), total("profiled_rows")(p))
+    rates = failures.join(both(profile, specs), "dataset_id")
+    if counts is not None:
+        rates = rates.join(period_duplicates(counts, key, end, split, early_days), "dataset_id")
     return rates.dropna(subset=[f"{n}_{p}" for n in SIGNALS.values() for p in ("early", "recent")])
 
 
@@ -137,10 +182,14 @@ def classify(counted: DataFrame) -> DataFrame:
     )
 
 
-def watchlist(tests: DataFrame, profile: DataFrame, inventory: DataFrame, as_of=None, min_move: float | None = None) -> DataFrame:
+def watchlist(
+    tests: DataFrame, profile: DataFrame, inventory: DataFrame, as_of=None, min_move: float | None = None,
+    counts: DataFrame | None = None, key: list[str] | None = None,
+) -> DataFrame:
     """One row per dataset; rates are rounded only here, in the last projection."""
     info = inventory.select("dataset_id", "dataset_name", "domain", "regulatory_criticality")
-    rated = signal_counts(add_trends(period_rates(tests, profile, as_of), min_move)).join(info, "dataset_id")
+    rates = period_rates(tests, profile, as_of, counts=counts, key=key)
+    rated = signal_counts(add_trends(rates, min_move)).join(info, "dataset_id")
     out = classify(rated)
     for rate in SIGNALS.values():
         for p in ("early", "recent"):
@@ -206,7 +255,8 @@ def floor_check(rates: DataFrame, floor: float = V.TREND_FLOOR) -> DataFrame:
 def history(tests: DataFrame, profile: DataFrame, early=(-29, -15), recent=(-14, 0)) -> DataFrame:
     """Watchlist status of every dataset on every day, from rolling windows.
 
-    Runs over one row per (dataset, day); the windows are partitioned by dataset.
+    Runs over one row per (dataset, day); the windows are partitioned by dataset. With sketches
+    in the profile, repeats are those over the whole window: the sketches of its days are merged.
     """
     c = F.col
     days = daily_failures(tests).join(profile, ["dataset_id", "test_date"], "full").withColumn("_day", F.unix_date("test_date"))
@@ -214,10 +264,13 @@ def history(tests: DataFrame, profile: DataFrame, early=(-29, -15), recent=(-14,
     for name, (lo, hi) in {"early": early, "recent": recent}.items():
         w = Window.partitionBy("dataset_id").orderBy("_day").rangeBetween(lo, hi)
         s = {m: F.sum(m).over(w) for m in ("rate_hundredths", "rate_tests", "null_cells", "cells", "dup_rows", "profiled_rows")}
+        repeats = s["dup_rows"]
+        if "key_sketch" in profile.columns:
+            repeats = _repeats(s["profiled_rows"], F.theta_union_agg("key_sketch", F.lit(SKETCH)).over(w))
         out = (
             out.withColumn(f"control_failure_rate_{name}", _mean(s["rate_hundredths"], s["rate_tests"]))
             .withColumn(f"null_rate_{name}", _rate(s["null_cells"], s["cells"]))
-            .withColumn(f"duplicate_rate_{name}", _rate(s["dup_rows"], s["profiled_rows"]))
+            .withColumn(f"duplicate_rate_{name}", _rate(repeats, s["profiled_rows"]))
         )
     out = out.dropna(subset=[f"{n}_{p}" for n in SIGNALS.values() for p in ("early", "recent")])
     return signal_counts(add_trends(out)).withColumn("watchlist_status", status_of(c("det_count")))

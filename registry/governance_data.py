@@ -33,6 +33,7 @@ RULES = (
 # declared mapping: rule k applies to data set d unless (d + k) % 7 = 0; one data set and one rule
 # are mapped nowhere, and COMP-Z never has rows in scope
 UNMAPPED_DATASET, UNMAPPED_RULE, MAPPED_OUT = 24, 7, 7
+KEY = ["user_id", "_key0"]  # an event of one kind by one user is expected once in a period
 TEAMS = ("Data Engineering Team", "Source System Team", "Data Governance Office", "Finance Operations", "Risk Technology", "CRM Team")
 CAUSES = ("Source System Failure", "ETL Failure", "Manual Entry Error", "Mapping Issue", "Feed Delay")
 STATUSES = ("Resolved", "Open", "In Progress", "Escalated", "Assigned")
@@ -100,13 +101,22 @@ class Governance:
         return settle(tests, "test-history") if self.settled else tests
 
     @cached_property
-    def profile(self) -> DataFrame:
-        """Null cells and repeated events of the events with defects, per dataset and day."""
+    def key_days(self) -> DataFrame:
+        """Rows and null cells of the events with defects per dataset, day and key (user and event)."""
         events = dirty_events(self.spark, self.sf, [F.col("user_id"), F.to_date("ts").alias("test_date")])
-        per_key = watchlist.profile(events, ["visitorid", "event", "itemid"], ["event"], ["user_id", "test_date"])
-        measured = watchlist.roll_up_profile(per_key.join(self.owners, "user_id"), ["dataset_id", "test_date"])
+        per_key = watchlist.key_counts(events, ["visitorid", "event", "itemid"], ["event"], ["user_id", "test_date"])
+        counts = per_key.join(self.owners, "user_id").select("dataset_id", "test_date", *KEY, "_n", "_nulls")
+        return settle(counts, "key-days") if self.settled else counts
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        """Null cells, repeated events and a sketch of the keys, per dataset and day."""
+        measured = watchlist.profile_of(self.key_days, 3, ["dataset_id", "test_date"], KEY)
         return settle(measured, "profile") if self.settled else measured
 
+    def rates(self, as_of=None) -> DataFrame:
+        return watchlist.period_rates(self.tests, self.profile, self.as_of if as_of is None else as_of, counts=self.key_days, key=KEY)
+
     @cached_property
     def bridge(self) -> DataFrame:
         """The declared mapping of datasets to rules."""
@@ -124,10 +134,11 @@ class Governance:
 
     @cached_property
     def watchlist(self) -> DataFrame:
-        return watchlist.watchlist(self.tests, self.profile, self.inventory, self.as_of)
+        return self.watchlist_at(0)
 
     def watchlist_at(self, days_back: int) -> DataFrame:
-        return watchlist.watchlist(self.tests, self.profile, self.inventory, F.date_sub(self.as_of, days_back))
+        as_of = F.date_sub(self.as_of, days_back) if days_back else self.as_of
+        return watchlist.watchlist(self.tests, self.profile, self.inventory, as_of, counts=self.key_days, key=KEY)
 
     @cached_property
     def history(self) -> DataFrame:
@@ -197,13 +208,14 @@ def watchlist_ctes(name: str, as_of: str, min_move: float | None = None) -> dict
     reason = ", ".join(f"CASE WHEN {tname[s]} = 'Deteriorating' THEN printf('{texts[s]}', round({s}_delta, 1)) END" for s in SIGNAL_RATES)
     return {
         f"{name}_r": f"""SELECT dataset_id, f.e AS control_failure_rate_early, f.r AS control_failure_rate_recent,
-            p.ne AS null_rate_early, p.nr AS null_rate_recent, p.de AS duplicate_rate_early, p.dr AS duplicate_rate_recent FROM
+            p.ne AS null_rate_early, p.nr AS null_rate_recent, q.de AS duplicate_rate_early, q.dr AS duplicate_rate_recent FROM
             (SELECT dataset_id, sum(CAST(round(failure_rate * 100) AS BIGINT)) FILTER (WHERE {early}) / (100e0 * count(*) FILTER (WHERE {early})) AS e,
                 sum(CAST(round(failure_rate * 100) AS BIGINT)) FILTER (WHERE {recent}) / (100e0 * count(*) FILTER (WHERE {recent})) AS r FROM gt GROUP BY 1) f JOIN
             (SELECT dataset_id, 100e0 * sum(null_cells) FILTER (WHERE {early}) / sum(cells) FILTER (WHERE {early}) AS ne,
-                100e0 * sum(null_cells) FILTER (WHERE {recent}) / sum(cells) FILTER (WHERE {recent}) AS nr,
-                100e0 * sum(dup_rows) FILTER (WHERE {early}) / sum(profiled_rows) FILTER (WHERE {early}) AS de,
-                100e0 * sum(dup_rows) FILTER (WHERE {recent}) / sum(profiled_rows) FILTER (WHERE {recent}) AS dr FROM prof GROUP BY 1) p USING (dataset_id)
+                100e0 * sum(null_cells) FILTER (WHERE {recent}) / sum(cells) FILTER (WHERE {recent}) AS nr
+                FROM prof GROUP BY 1) p USING (dataset_id) JOIN
+            (SELECT dataset_id, 100e0 * (sum(e) - count(*) FILTER (WHERE e > 0)) / nullif(sum(e), 0) AS de, 100e0 * (sum(r) - count(*) FILTER (WHERE r > 0)) / nullif(sum(r), 0) AS dr FROM (
+                SELECT dataset_id, user_id, event, coalesce(sum(n) FILTER (WHERE {early}), 0) AS e, coalesce(sum(n) FILTER (WHERE {recent}), 0) AS r FROM kd GROUP BY 1, 2, 3) GROUP BY 1) q USING (dataset_id)
             WHERE f.e IS NOT NULL AND f.r IS NOT NULL AND NOT isnan(f.e) AND NOT isnan(f.r) AND ne IS NOT NULL AND nr IS NOT NULL AND de IS NOT NULL AND dr IS NOT NULL""",
         f"{name}_t": f"SELECT *, {trends} FROM (SELECT *, {', '.join(f'{delta[s]} AS {s}_delta' for s in SIGNAL_RATES)} FROM {name}_r)",
         f"{name}_c": f"SELECT *, {count('Deteriorating')} AS det_count, {count('Improving')} AS imp_count FROM {name}_t",
@@ -239,9 +251,9 @@ CTES: dict[str, str] = {
         CASE WHEN CAST(total_records - fail_count AS DECIMAL(30,2)) * 100 >= CAST(threshold AS DECIMAL(7,2)) * total_records THEN 'Pass' ELSE 'Fail' END AS status
         FROM cells JOIN rb USING (rule_id) JOIN bridge USING (dataset_id, rule_id)""",
     "gev": EVENT_CTES["b"].replace("SELECT event_id,", "SELECT user_id, CAST(events.ts AS DATE) AS test_date, event_id,", 1),
-    "prof": """SELECT dataset_id, test_date, sum(n) * 3 AS cells, sum(nulls) AS null_cells, sum(n) AS profiled_rows, sum(n - 1) AS dup_rows FROM (
-        SELECT c_nationkey AS dataset_id, test_date, user_id, event, count(*) AS n, sum((visitorid IS NULL)::INT + (event IS NULL)::INT + (itemid IS NULL)::INT) AS nulls
-        FROM (SELECT * FROM gev UNION ALL SELECT * FROM gev WHERE event_id % 250 = 3) JOIN customer ON user_id = c_custkey GROUP BY ALL) GROUP BY 1, 2""",
+    "kd": """SELECT c_nationkey AS dataset_id, test_date, user_id, event, count(*) AS n, sum((visitorid IS NULL)::INT + (event IS NULL)::INT + (itemid IS NULL)::INT) AS nulls
+        FROM (SELECT * FROM gev UNION ALL SELECT * FROM gev WHERE event_id % 250 = 3) JOIN customer ON user_id = c_custkey GROUP BY ALL""",
+    "prof": """SELECT dataset_id, test_date, sum(n) * 3 AS cells, sum(nulls) AS null_cells, sum(n) AS profiled_rows, sum(n - 1) AS dup_rows FROM kd GROUP BY 1, 2""",
     **watchlist_ctes("wl", AS_OF),
     **watchlist_ctes("wl7", f"({AS_OF} - 7)"),
     **watchlist_ctes("wlm", AS_OF, 0.5),
@@ -291,10 +303,12 @@ CTES: dict[str, str] = {
         (SELECT *, control_coverage * 0.3e0 + automation_pct * 0.3e0 + sla_compliance * 0.25e0 + audit_completeness * 0.15e0 AS s FROM mt0)""",
     "wh0": """SELECT dataset_id, test_date, test_date - DATE '1970-01-01' AS d, rh, rn, null_cells, cells, dup_rows, profiled_rows FROM
         (SELECT dataset_id, test_date, sum(CAST(round(failure_rate * 100) AS BIGINT)) AS rh, count(*) AS rn FROM gt GROUP BY 1, 2) FULL JOIN prof USING (dataset_id, test_date)""",
+    "whk": """SELECT dataset_id, wh0.test_date, count(DISTINCT (user_id, event)) FILTER (WHERE kd.test_date <= wh0.test_date - 15) AS ke, count(DISTINCT (user_id, event)) FILTER (WHERE kd.test_date > wh0.test_date - 15) AS kr
+        FROM wh0 LEFT JOIN kd USING (dataset_id) WHERE kd.test_date IS NULL OR kd.test_date BETWEEN wh0.test_date - 29 AND wh0.test_date GROUP BY 1, 2""",
     "wh1": """SELECT dataset_id, test_date, sum(rh) OVER e / (100e0 * sum(rn) OVER e) AS control_failure_rate_early, sum(rh) OVER r / (100e0 * sum(rn) OVER r) AS control_failure_rate_recent,
         100e0 * sum(null_cells) OVER e / sum(cells) OVER e AS null_rate_early, 100e0 * sum(null_cells) OVER r / sum(cells) OVER r AS null_rate_recent,
-        100e0 * sum(dup_rows) OVER e / sum(profiled_rows) OVER e AS duplicate_rate_early, 100e0 * sum(dup_rows) OVER r / sum(profiled_rows) OVER r AS duplicate_rate_recent
-        FROM wh0 WINDOW e AS (PARTITION BY dataset_id ORDER BY d RANGE BETWEEN 29 PRECEDING AND 15 PRECEDING), r AS (PARTITION BY dataset_id ORDER BY d RANGE BETWEEN 14 PRECEDING AND CURRENT ROW)""",
+        100e0 * (sum(profiled_rows) OVER e - ke) / sum(profiled_rows) OVER e AS duplicate_rate_early, 100e0 * (sum(profiled_rows) OVER r - kr) / sum(profiled_rows) OVER r AS duplicate_rate_recent
+        FROM wh0 JOIN whk USING (dataset_id, test_date) WINDOW e AS (PARTITION BY dataset_id ORDER BY d RANGE BETWEEN 29 PRECEDING AND 15 PRECEDING), r AS (PARTITION BY dataset_id ORDER BY d RANGE BETWEEN 14 PRECEDING AND CURRENT ROW)""",
     "wh": """SELECT dataset_id, test_date, det_count, imp_count, CASE WHEN det_count >= 2 THEN 'Watchlist' WHEN det_count = 1 THEN 'Monitor' ELSE 'Clear' END AS watchlist_status FROM (
         SELECT dataset_id, test_date, """ + ", ".join(
             "(" + " + ".join(f"(({s}_recent - {s}_early) / greatest({s}_early, 0.01e0) * 100e0 {op})::INT" for s in SIGNAL_RATES) + f") AS {n}"

@@ -83,22 +83,22 @@ SIX = ", ".join(f"round({r}, 4) AS {r}" for r in RATES)
 def _rates(g: Governance):
     from plumbline.functions.exprs import rounded
 
-    r = watchlist.period_rates(g.tests, g.profile, g.as_of)
+    r = g.rates()
     return r.select("dataset_id", *[rounded(c(x), 4).alias(x) for x in RATES])
 
 
 def _trends(g: Governance, move=None):
-    return watchlist.signal_counts(watchlist.add_trends(watchlist.period_rates(g.tests, g.profile, g.as_of), move))
+    return watchlist.signal_counts(watchlist.add_trends(g.rates(), move))
 
 
-add("w01_null_rates", lambda g: _rates(g).select("dataset_id", *RATES[0:2]), f"SELECT dataset_id, {', '.join(SIX.split(', ')[0:0])}round(null_rate_early, 4) AS null_rate_early, round(null_rate_recent, 4) AS null_rate_recent FROM wl_r")
-add("w02_duplicate_rates", lambda g: _rates(g).select("dataset_id", *RATES[2:4]), "SELECT dataset_id, round(duplicate_rate_early, 4) AS duplicate_rate_early, round(duplicate_rate_recent, 4) AS duplicate_rate_recent FROM wl_r")
-add("w03_failure_rates", lambda g: _rates(g).select("dataset_id", *RATES[4:6]), "SELECT dataset_id, round(control_failure_rate_early, 4) AS control_failure_rate_early, round(control_failure_rate_recent, 4) AS control_failure_rate_recent FROM wl_r")
+layered("w01_null_rates", lambda g: _rates(g).select("dataset_id", *RATES[0:2]), f"SELECT dataset_id, {', '.join(SIX.split(', ')[0:0])}round(null_rate_early, 4) AS null_rate_early, round(null_rate_recent, 4) AS null_rate_recent FROM wl_r")
+layered("w02_duplicate_rates", lambda g: _rates(g).select("dataset_id", *RATES[2:4]), "SELECT dataset_id, round(duplicate_rate_early, 4) AS duplicate_rate_early, round(duplicate_rate_recent, 4) AS duplicate_rate_recent FROM wl_r")
+layered("w03_failure_rates", lambda g: _rates(g).select("dataset_id", *RATES[4:6]), "SELECT dataset_id, round(control_failure_rate_early, 4) AS control_failure_rate_early, round(control_failure_rate_recent, 4) AS control_failure_rate_recent FROM wl_r")
 TREND_COLS = ["null_rate_trend", "duplicate_rate_trend", "control_failure_trend"]
-add("w04_trends", lambda g: _trends(g).select("dataset_id", *TREND_COLS), f"SELECT dataset_id, {', '.join(TREND_COLS)} FROM wl_t")
-add("w05_signal_counts", lambda g: _trends(g).select("dataset_id", "det_count", "imp_count"), "SELECT dataset_id, det_count, imp_count FROM wl_c")
-add("w06_status", lambda g: g.watchlist.select("dataset_id", "watchlist_status", "risk_trend", "priority"), "SELECT dataset_id, watchlist_status, risk_trend, priority FROM wl")
-add("w07_reason", lambda g: g.watchlist.select("dataset_id", "watchlist_reason", "recommended_action"), "SELECT dataset_id, watchlist_reason, recommended_action FROM wl")
+layered("w04_trends", lambda g: _trends(g).select("dataset_id", *TREND_COLS), f"SELECT dataset_id, {', '.join(TREND_COLS)} FROM wl_t")
+layered("w05_signal_counts", lambda g: _trends(g).select("dataset_id", "det_count", "imp_count"), "SELECT dataset_id, det_count, imp_count FROM wl_c")
+layered("w06_status", lambda g: g.watchlist.select("dataset_id", "watchlist_status", "risk_trend", "priority"), "SELECT dataset_id, watchlist_status, risk_trend, priority FROM wl")
+layered("w07_reason", lambda g: g.watchlist.select("dataset_id", "watchlist_reason", "recommended_action"), "SELECT dataset_id, watchlist_reason, recommended_action FROM wl")
 layered("w07b_watchlist_table", lambda g: watchlist.with_watchlist_ids(g.watchlist),
     "SELECT printf('WL-%04d', row_number() OVER (ORDER BY domain, dataset_id)) AS watchlist_id, " + ", ".join(watchlist.WATCHLIST_COLUMNS[1:]) + " FROM wl")
 # the watchlist stored a week ago against today's history
@@ -106,13 +106,13 @@ layered("w08_reconcile", lambda g: watchlist.reconcile(g.watchlist_at(7), g.test
     "SELECT *, status_recomputed = watchlist_status AS reconciled FROM (SELECT dataset_id, wl7.control_failure_trend, wl_t.control_failure_trend AS trend_recomputed, watchlist_status, "
     "CASE (wl7.null_rate_trend = 'Deteriorating')::INT + (wl7.duplicate_rate_trend = 'Deteriorating')::INT + (wl_t.control_failure_trend = 'Deteriorating')::INT "
     "WHEN 0 THEN 'Clear' WHEN 1 THEN 'Monitor' ELSE 'Watchlist' END AS status_recomputed FROM wl7 JOIN wl_t USING (dataset_id))")
-add("w09_recovered_baseline", lambda g: watchlist.recovered_baseline(g.watchlist),
+layered("w09_recovered_baseline", lambda g: watchlist.recovered_baseline(g.watchlist),
     r"SELECT * FROM (SELECT dataset_id, duplicate_rate_early, duplicate_rate_recent, CAST(p AS DOUBLE) AS reported_pct, round(duplicate_rate_recent / (1e0 + CAST(p AS DOUBLE) / 100e0), 5) AS implied_early FROM "
     r"(SELECT *, nullif(regexp_extract(watchlist_reason, 'Duplicate rate increased ([0-9.]+)%', 1), '') AS p FROM wl)) WHERE reported_pct IS NOT NULL")
-add("w10_floor_check", lambda g: watchlist.floor_check(watchlist.period_rates(g.tests, g.profile, g.as_of)),
+layered("w10_floor_check", lambda g: watchlist.floor_check(g.rates()),
     "SELECT round(min(null_rate_early), 6) AS min_null_rate_early, round(min(duplicate_rate_early), 6) AS min_duplicate_rate_early, round(min(control_failure_rate_early), 6) AS min_control_failure_rate_early, "
     "least(min(null_rate_early), min(duplicate_rate_early), min(control_failure_rate_early)) < 0.01 AS floor_binds FROM wl_r")
-add("w11_damped_trend", lambda g: _trends(g, 0.5).select("dataset_id", *TREND_COLS, "det_count"), f"SELECT dataset_id, {', '.join(TREND_COLS)}, det_count FROM wlm_c")
+layered("w11_damped_trend", lambda g: _trends(g, 0.5).select("dataset_id", *TREND_COLS, "det_count"), f"SELECT dataset_id, {', '.join(TREND_COLS)}, det_count FROM wlm_c")
 add("w12_watchlist_history", lambda g: g.history.select("dataset_id", "test_date", "det_count", "imp_count", "watchlist_status"),
     "SELECT dataset_id, test_date, det_count, imp_count, watchlist_status FROM wh")
 FIRST_EXC = "SELECT dataset_id, min(test_date) AS first_exception FROM gt JOIN rb USING (rule_id) WHERE status = 'Fail' AND severity = 'Critical' GROUP BY 1"
@@ -142,12 +142,12 @@ layered("r14_reopened", lambda g: remediation.reopened(g.tickets, g.tests),
     "SELECT ticket_id, t.dataset_id, t.rule_id, resolution_date, count(*) AS later_failures, min(test_date) AS first_later_failure FROM tk t JOIN gt ON t.dataset_id = gt.dataset_id AND t.rule_id = gt.rule_id AND gt.status = 'Fail' AND test_date > resolution_date WHERE t.status = 'Resolved' GROUP BY ALL")
 
 # ---------------------------------------------------------------- trust and maturity
-add("t01_domain_effectiveness", lambda g: trust.presented(g.trust_exact).select("domain", "avg_control_effectiveness"), "SELECT domain, avg_control_effectiveness FROM tr WHERE domain <> 'Enterprise (Overall)'")
-add("t02_domain_flags", lambda g: trust.flag_counts(g.watchlist),
+layered("t01_domain_effectiveness", lambda g: trust.presented(g.trust_exact).select("domain", "avg_control_effectiveness"), "SELECT domain, avg_control_effectiveness FROM tr WHERE domain <> 'Enterprise (Overall)'")
+layered("t02_domain_flags", lambda g: trust.flag_counts(g.watchlist),
     "SELECT domain, count(*) FILTER (WHERE watchlist_status = 'Watchlist') AS watchlist_count, count(*) FILTER (WHERE watchlist_status = 'Monitor') AS monitor_count FROM wl GROUP BY 1")
 layered("t03_domain_trust", lambda g: trust.presented(g.trust_exact).select("domain", "trust_score", "trust_category", "watchlist_count", "monitor_count"),
     "SELECT domain, round(trust_score, 1) AS trust_score, CASE WHEN trust_score >= 90 THEN 'Trusted' WHEN trust_score >= 75 THEN 'Monitor' ELSE 'At Risk' END AS trust_category, watchlist_count, monitor_count FROM tx")
-add("t04_dataset_count", lambda g: g.trust_exact.select("domain", "dataset_count"), "SELECT domain, dataset_count FROM tx")
+layered("t04_dataset_count", lambda g: g.trust_exact.select("domain", "dataset_count"), "SELECT domain, dataset_count FROM tx")
 layered("t05_trust_with_enterprise", lambda g: g.trust, "SELECT domain, trust_score, trust_category, avg_control_effectiveness, dataset_count FROM tr")
 layered("t06_maturity", lambda g: g.maturity, "SELECT * FROM mt")
 add("t07_coverage", lambda g: trust.coverage(g.bridge, g.inventory, g.rulebook),

@@ -115,6 +115,38 @@ def test_profile_counts_real_nulls_and_repeats(spark):
     assert got == {"a": (6, 3, 3, 1), "b": (4, 2, 2, 1)}
 
 
+def _key_rows(spark, rows):
+    """(dataset, day, key) rows as key counts and a profile with sketches."""
+    df = spark.createDataFrame(rows, "dataset_id string, day string, k string").withColumn("test_date", F.to_date("day"))
+    counts = watchlist.key_counts(df, ["k"], ["k"], ["dataset_id", "test_date"])
+    return counts, watchlist.profile_of(counts, 1, ["dataset_id", "test_date"], ["_key0"])
+
+
+def test_a_key_on_two_days_is_one_repeat_of_the_period(spark):
+    rows = [("D1", "2024-01-20", "a"), ("D1", "2024-01-25", "a"), ("D1", "2024-01-25", "b"), ("D1", "2024-01-25", None), ("D1", "2024-01-26", None),
+            ("D1", "2024-01-10", "a"), ("D1", "2024-01-11", "c"), ("D1", "2023-12-01", "c"), ("D2", "2024-01-20", "a")]
+    counts, measured = _key_rows(spark, rows)
+    got = {r.dataset_id: (r.duplicate_rate_early, r.duplicate_rate_recent) for r in watchlist.period_duplicates(counts, ["_key0"], F.lit("2024-01-30").cast("date")).collect()}
+    assert got == {"D1": (0.0, 40.0), "D2": (None, 0.0)}  # of five rows "a" and the null key come again
+    tests = _history(spark, 59, 0).withColumn("test_date", F.date_sub("test_date", 30))
+    exact = watchlist.period_rates(tests, measured, "2024-01-30", counts=counts, key=["_key0"]).first()
+    sketched = watchlist.period_rates(tests, measured, "2024-01-30").first()
+    assert exact.duplicate_rate_recent == sketched.duplicate_rate_recent == 40.0 and exact.duplicate_rate_early == sketched.duplicate_rate_early == 0.0
+    assert watchlist.period_rates(tests, measured.drop("key_sketch"), "2024-01-30").first().duplicate_rate_recent == 0.0
+
+
+def test_rolling_duplicates_beyond_the_exact_range(spark):
+    # 120,000 keys on each of ten days, half of them the same on all days
+    key = F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(-F.col("id") * 10 - F.col("d"))
+    df = spark.range(120_000).crossJoin(spark.range(10).select(F.col("id").alias("d"))).select(
+        F.lit("D1").alias("dataset_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("d").cast("int")).alias("test_date"), key.alias("k"))
+    measured = watchlist.profile_of(watchlist.key_counts(df, ["k"], ["k"], ["dataset_id", "test_date"]), 1, ["dataset_id", "test_date"], ["_key0"])
+    tests = _history(spark, 40, 0).withColumn("test_date", F.date_add("test_date", 0))
+    last = watchlist.history(tests, measured, early=(-9, -5), recent=(-4, 0)).filter("test_date = '2024-01-10'").first()
+    truth = 100.0 * (1 - (60_000 + 5 * 60_000) / (5 * 120_000))
+    assert abs(last.duplicate_rate_recent - truth) < 1.0 and abs(last.duplicate_rate_early - truth) < 1.0
+
+
 def test_silent_feeds_are_reported(spark):
     rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:15:00"), ("b", "2024-01-01 00:00:00"), ("b", "2024-01-01 06:00:00")]
     closed = spark.createDataFrame(rows, "k string, t string").select("k", F.col("t").cast("timestamp_ntz").alias("window_start"))

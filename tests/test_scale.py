@@ -130,8 +130,23 @@ def test_steady_arrival_equals_row_by_row(spark, limit):
         times.sort()
         total += len(times) - 1
         fail += sum(b - a > limit for a, b in zip(times, times[1:]))
-    r = rules.steady_arrival("TIME-002", df, [F.col("k")], "t", limit).first()
-    assert (r.total_records, r.fail_count) == (total, fail)
+    for block in (1, 3, rules.BLOCK_SLICES):  # times are handed over at every edge, some, none
+        r = rules.steady_arrival("TIME-002", df, [F.col("k")], "t", limit, block).first()
+        assert (r.total_records, r.fail_count) == (total, fail)
+
+
+def test_arrivals_of_one_key_use_all_tasks(spark):
+    df = spark.range(0, 600_000, 1, 6).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 61).cast("timestamp_ntz").alias("t"))
+    df = df.unionByName(spark.createDataFrame([("hot", None), ("cold", None)], "k string, t timestamp_ntz"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        blocks = rules.arrival_blocks(df, [F.col("k")], "t", 60).withColumn("task", F.spark_partition_id())
+        loads = [r["count"] for r in blocks.groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(loads) == 4 and max(loads) < 2 * min(loads)  # the session has four shuffle partitions
+    r = rules.steady_arrival("TIME-002", df, [F.col("k")], "t", 60).first()
+    assert (r.total_records, r.fail_count) == (599_999, 599_999)
 
 
 def test_latest_value_of_an_item_with_a_long_history(spark):
