@@ -6,8 +6,9 @@ Shape of the work for a table of any size:
   ONE scan: counters grouped by calendar day, combined on the map side, so the
   shuffle carries (batches x days) rows;
 * the keyed checks (duplicate ids, duplicate rows, first event per visitor, orphan
-  items) each count per key first. Rows of a hot key collapse before the shuffle and
-  no window or collected group ever holds the raw rows of a key;
+  items) count per key first, all in one shuffle of tagged keys where one data set is
+  checked. Rows of a hot key collapse before the shuffle and no window or collected
+  group ever holds the raw rows of a key;
 * reference tables are joined after that reduction and without broadcast hints, so
   Spark picks broadcast or shuffled joins from their measured size.
 
@@ -21,13 +22,16 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as V
-from ..functions.exprs import event_date, percent, small_table
+from ..functions.exprs import event_date, percent, small_table, wall_micros
+from .duplicates import duplicate_counts, fingerprint, members
 
 ALL_CHECKS = tuple(c[0] for c in V.EVENT_CHECKS)
 _DAILY = ("COMP-001", "COMP-002", "COMP-003", "COMP-004", "VALID-001", "VALID-002", "VALID-003",
           "CONS-001", "CONS-002", "FRESH-001", "FRESH-002")
+_KEYED = ("UNIQ-001", "UNIQ-002", "CONS-003", "RI-001")
 
 
 @dataclass(frozen=True)
@@ -156,12 +160,96 @@ def _duplicate_ids(events, cfg, by) -> DataFrame:
 
 
 def _duplicate_rows(events, by) -> DataFrame:
-    # grouping treats nulls as equal; only the extra copies count
-    copies = events.groupBy(*events.columns).agg(F.count("*").alias("_n"))
-    agg = copies.groupBy(*by).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("t"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("f")
-    )
-    return _rows(agg, by, [_finding("UNIQ-002", F.col("t"), F.col("f"))])
+    # nulls are equal; only the extra copies count
+    return _rows(duplicate_counts(events, by), by, [_finding("UNIQ-002", F.col("_rows"), F.col("_extra"))])
+
+
+#: multiplier that puts a time before any 64-bit tie, and the times (beyond any calendar) it holds for
+_TIE_RANGE, _TIME_BOUND = str(1 << 64), 5 * 10**18
+
+
+def _moment(cfg: EventRules, events: DataFrame) -> Column:
+    """Time, then tie, as one number: its minimum is kept in place by a hash aggregation."""
+    kind = events.schema[cfg.time].dataType
+    time = F.col(cfg.time) if isinstance(kind, T.IntegralType) else wall_micros(F.col(cfg.time))
+    if cfg.tie is None:
+        return time.cast("decimal(38,0)")
+    bounded = F.greatest(F.least(time, F.lit(_TIME_BOUND)), F.lit(-_TIME_BOUND)).cast("decimal(19,0)")
+    tie = F.coalesce(F.col(cfg.tie).cast("long"), F.lit((1 << 63) - 1)).cast("decimal(19,0)")
+    # the bounds pass over nulls; an event without time has no moment
+    return F.when(time.isNotNull(), (bounded * F.lit(_TIE_RANGE).cast("decimal(20,0)") + tie).cast("decimal(38,0)"))
+
+
+def _can_fuse(events: DataFrame, cfg: EventRules) -> bool:
+    timed = isinstance(events.schema[cfg.time].dataType, (T.IntegralType, T.TimestampType, T.TimestampNTZType))
+    return timed and (cfg.tie is None or isinstance(events.schema[cfg.tie].dataType, T.IntegralType))
+
+
+def _keyed_findings(events: DataFrame, items: DataFrame | None, cfg: EventRules, rules: list[str]) -> DataFrame:
+    """The keyed checks of one data set from one shuffle of tagged keys.
+
+    A row gives one (check, key) pair per check: its transaction id, its fingerprint, its
+    visitor and its item; the catalog adds its items as known. One aggregation counts all of
+    them, so the events are scanned once here instead of once per check. Rows with repeated
+    fingerprints are then verified as full rows (see ``duplicates``), from the same shuffle.
+    """
+    c = F.col
+    txn = F.coalesce(c("event") == cfg.transaction, F.lit(False))
+    moment = _moment(cfg, events)
+
+    def key(rule: str, where: Column | None = None, number=None, second=None, text=None, timed=None, txn_at=None, other_at=None) -> Column:
+        fields = (("rule", F.lit(ALL_CHECKS.index(rule)), "int"), ("a", number, "bigint"), ("b", second, "bigint"), ("text", text, "string"), ("rows", F.lit(1), "int"),
+                  ("timed", timed, "int"), ("txn_at", txn_at, "decimal(38,0)"), ("other_at", other_at, "decimal(38,0)"))
+        row = F.struct(*[(F.lit(None) if v is None else v).cast(t).alias(n) for n, v, t in fields])
+        return row if where is None else F.when(where, row)
+
+    def plain(column: str) -> dict:
+        """An id as a number, or as text if it is none."""
+        return {"number": c(column)} if isinstance(events.schema[column].dataType, T.IntegralType) else {"text": c(column).cast("string")}
+
+    keys = []
+    if "UNIQ-001" in rules:
+        keys.append(key("UNIQ-001", txn & c("transactionid").isNotNull(), text=c("transactionid").cast("string")))
+    if "UNIQ-002" in rules:
+        first, second = fingerprint(events.columns)
+        keys.append(key("UNIQ-002", number=first, second=second))
+    if "CONS-003" in rules:
+        other = c("event").isNotNull() & ~txn
+        keys.append(key("CONS-003", **plain("visitorid"), timed=c(cfg.time).isNotNull(), txn_at=F.when(txn, moment), other_at=F.when(other, moment)))
+    if "RI-001" in rules:
+        keys.append(key("RI-001", **plain("itemid")))
+    tagged = events.select(F.explode(F.array_compact(F.array(*keys))).alias("_key")).select("_key.*")
+    if "RI-001" in rules:
+        known = key("RI-001", **plain("itemid")).withField("rows", F.lit(0))
+        tagged = tagged.unionByName(items.filter(c("itemid").isNotNull()).select(c("itemid").cast(events.schema["itemid"].dataType)).select(known.alias("_key")).select("_key.*"))
+    of = {r: c("rule") == ALL_CHECKS.index(r) for r in rules}
+    per_key = tagged.groupBy("rule", "a", "b", "text").agg(
+        F.sum("rows").alias("n"), F.sum("timed").alias("timed"), F.min("txn_at").alias("txn_at"), F.min("other_at").alias("other_at"), F.count_if(c("rows") == 0).alias("known"),
+        F.count("b").alias("prints"))
+    named = c("a").isNotNull() | c("text").isNotNull()
+
+    def total(rule: str, where: Column | None = None, what: Column | None = None) -> Column:
+        return F.coalesce(F.sum(F.when(of[rule] if where is None else of[rule] & where, c("n") if what is None else what)), F.lit(0))
+
+    aggs, found = {}, []
+    if "UNIQ-001" in rules:
+        aggs |= {"t1": total("UNIQ-001"), "f1": total("UNIQ-001", c("n") > 1)}
+        found.append(_finding("UNIQ-001", c("t1"), c("f1")))
+    if "UNIQ-002" in rules:
+        # a fingerprint has no other measure; asking for all of them, and for no key, lets this use and the totals share one shuffle
+        print_only = (c("prints") > 0) & (c("known") == 0) & c("timed").isNull() & c("txn_at").isNull() & c("other_at").isNull()
+        again = per_key.filter((c("n") > 1) & print_only).select(F.coalesce("a", F.lit(0)).alias("_fp_a"), F.coalesce("b", F.lit(0)).alias("_fp_b"))
+        extra = members(events, again).agg(F.coalesce(F.sum(c("_n") - 1), F.lit(0)))
+        aggs["t2"] = F.coalesce(F.sum(F.when(c("prints") > 0, c("n"))), F.lit(0))
+        found.append(_finding("UNIQ-002", c("t2"), extra.scalar()))
+    if "CONS-003" in rules:
+        first = named & c("txn_at").isNotNull() & (c("other_at").isNull() | (c("txn_at") < c("other_at")))
+        aggs |= {"t3": total("CONS-003"), "v3": total("CONS-003", named & (c("timed") > 0), F.lit(1)), "f3": total("CONS-003", first, F.lit(1))}
+        found.append(_finding("CONS-003", F.when(c("v3") > 0, c("v3")).otherwise(c("t3")), c("f3")))
+    if "RI-001" in rules:
+        aggs |= {"t4": total("RI-001"), "f4": total("RI-001", named & (c("known") == 0))}
+        found.append(_finding("RI-001", c("t4"), c("f4")))
+    return _rows(per_key.agg(*[a.alias(n) for n, a in aggs.items()]), [], found)
 
 
 def _first_events(events, cfg, by) -> DataFrame:
@@ -252,13 +340,17 @@ def run_checks(
         parts.append(_daily_findings(events, cfg, by, daily, extra))
     elif extra:
         parts.append(_rows(events.select(*by).distinct(), by, extra))
-    if "UNIQ-001" in rules:
+    keyed = [r for r in _KEYED if r in rules]
+    if len(keyed) > 1 and not by and _can_fuse(events, cfg):
+        parts.append(_keyed_findings(events, items, cfg, keyed))
+        keyed = []
+    if "UNIQ-001" in keyed:
         parts.append(_duplicate_ids(events, cfg, by))
-    if "UNIQ-002" in rules:
+    if "UNIQ-002" in keyed:
         parts.append(_duplicate_rows(events, by))
-    if "CONS-003" in rules:
+    if "CONS-003" in keyed:
         parts.append(_first_events(events, cfg, by))
-    if "RI-001" in rules:
+    if "RI-001" in keyed:
         parts.append(_orphan_items(events, items, by))
     found = parts[0]
     for part in parts[1:]:
@@ -280,14 +372,21 @@ def graded(found: DataFrame) -> DataFrame:
     return found.withColumn("failure_pct", percent(c("failed_records"), c("total_records"), 4)).withColumn("status", status)
 
 
-def failing_samples(events: DataFrame, per_rule: int, cfg: EventRules, order: list[str]) -> DataFrame:
+SAMPLE_BUCKETS = (4096, 64, 1)
+
+
+def failing_samples(events: DataFrame, per_rule: int, cfg: EventRules, order: list[str], buckets: tuple = SAMPLE_BUCKETS) -> DataFrame:
     """First ``per_rule`` failing rows of every row-level check, by ``order``.
 
-    A row is tagged with all rules it fails in one pass. The rank filter is applied
-    on each side of the shuffle, so only the best candidates of a task travel.
+    A row is tagged with all rules it fails in one pass. The best rows are picked inside
+    hashed buckets of a rule first, and then of their winners in ever fewer buckets, so no
+    window holds all failing rows of a rule whatever ``per_rule`` is; small numbers are
+    limited before the shuffle as well.
     """
     cond = row_conditions(cfg)
     tags = F.array_compact(F.array(*[F.when(cond[r], F.lit(r)) for r in cond]))
-    tagged = events.select("*", F.explode(tags).alias("rule_id"))
-    w = Window.partitionBy("rule_id").orderBy(*order)
-    return tagged.withColumn("sample_no", F.row_number().over(w)).filter(F.col("sample_no") <= per_rule)
+    best = events.select("*", F.explode(tags).alias("rule_id")).withColumn("_hash", F.xxhash64(*order))
+    for count in buckets:
+        w = Window.partitionBy("rule_id", F.pmod("_hash", F.lit(count))).orderBy(*order) if count > 1 else Window.partitionBy("rule_id").orderBy(*order)
+        best = best.withColumn("sample_no", F.row_number().over(w)).filter(F.col("sample_no") <= per_rule)
+    return best.drop("_hash")

@@ -10,11 +10,13 @@ def latest_values(props: DataFrame, name: str) -> DataFrame:
     """Most recent value of one property per item.
 
     Equal timestamps are settled by the larger value, so the result does not depend
-    on file order. Only rows of the property are scanned (the filter is pushed down)
-    and a long history of one item collapses on the map side.
+    on file order. Only rows of the property are scanned (the filter is pushed down). The
+    history is first reduced to the latest time of each value, by a hash aggregation with the
+    value in the key (a maximum of texts would sort all raw rows), and then to one value.
     """
     return (
         props.filter(F.col("property") == name)
+        .groupBy("itemid", "value").agg(F.max("timestamp").alias("timestamp"))
         .groupBy("itemid")
         .agg(F.max_by("value", F.struct("timestamp", "value")).alias("value"))
     )

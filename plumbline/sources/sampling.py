@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.exprs import scalar
+from ..functions.exprs import small_table
 
 HASH_RANGE = 1 << 60
 SLOTS = 16  # bits of a slot; a slot is split by as many bits again
@@ -27,60 +29,90 @@ def picked(hash_value: Column, share: float) -> Column:
     return hash_value < F.lit(int(HASH_RANGE * share))
 
 
-def _cut(tagged: DataFrame, n: Column):
-    """The hash slot holding the n-th row, and how many of its rows are still needed."""
-    histogram = tagged.groupBy("_slot").agg(F.count("*").alias("_n"))
-    running = histogram.withColumn("_upto", F.sum("_n").over(Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)))
-    before = F.col("_upto") - F.col("_n")
-    cut = running.filter((F.col("_upto") >= n) & (before < n)).agg(
-        F.struct(F.max("_slot").alias("slot"), (F.max(n) - F.max(before)).alias("need")).alias("v")
-    )
-    found = cut.scalar()  # one subquery for both fields
-    return F.coalesce(found.getField("slot"), F.lit(1 << SLOTS)), found.getField("need")
+@dataclass
+class Family:
+    """One order of the rows (by hash) and the numbers of its first rows that are asked for."""
 
+    hash: Column
+    sizes: list[int]
+    where: Column | None = None
+
+
+def _slot(hash_value: Column, level: int = 0) -> Column:
+    """The first (second, ...) group of bits of the hash."""
+    return F.shiftright(hash_value, 60 - SLOTS * (level + 1)).bitwiseAND(F.lit((1 << SLOTS) - 1)).cast("int")
 
-def _tagged(df: DataFrame, hash_value: Column) -> DataFrame:
-    """The hash and its first and second group of bits."""
-    tagged = df.withColumn("_h", hash_value)
-    sub = F.shiftright("_h", 60 - 2 * SLOTS).bitwiseAND(F.lit((1 << SLOTS) - 1))
-    return tagged.withColumn("_slot", F.shiftright("_h", 60 - SLOTS).cast("int")).withColumn("_sub", sub.cast("int"))
 
+def _each(df: DataFrame, families: list[Family], **columns) -> DataFrame:
+    """One row per row and family that wants it, with columns computed from the family's hash."""
+    def row(i: int, family: Family) -> Column:
+        made = F.struct(F.lit(i).alias("family"), *[f(family.hash).alias(n) for n, f in columns.items()])
+        return made if family.where is None else F.when(family.where, made)
 
-def _cuts(tagged: DataFrame, n: int):
-    """Slot and slot inside it with the n-th row, and how many rows of the inner one are needed."""
-    at, need = _cut(tagged, F.lit(n))
-    inner = tagged.filter(F.col("_slot") == at).drop("_slot").withColumnRenamed("_sub", "_slot")
-    sub_at, sub_need = _cut(inner, need)
-    return at, sub_at, sub_need
+    rows = F.array_compact(F.array(*[row(i, f) for i, f in enumerate(families)]))
+    return df.select(F.inline(rows))
+
+
+def cut_points(df: DataFrame, families: list[Family], level: int = 0) -> dict[tuple[int, int], tuple[int, int]]:
+    """For every (family, size): the slot that holds that row, and its place inside the slot.
+
+    One histogram job for all families and sizes; a size beyond the rows has no entry. What
+    comes back is one row per size.
+    """
+    slots = _each(df, families, slot=lambda h: _slot(h, level))
+    histogram = slots.groupBy("family", "slot").agg(F.count("*").alias("n"))
+    running = histogram.withColumn("upto", F.sum("n").over(Window.partitionBy("family").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)))
+    sizes = small_table(df.sparkSession, "family INT, size BIGINT", [(i, n) for i, f in enumerate(families) for n in f.sizes])
+    found = running.join(sizes, "family").filter((F.col("upto") >= F.col("size")) & (F.col("upto") - F.col("n") < F.col("size")))
+    row = found.agg(F.collect_list(F.struct("family", "size", "slot", (F.col("size") - F.col("upto") + F.col("n")).alias("place"))).alias("cuts")).first()
+    return {(r.family, r.size): (r.slot, r.place) for r in row.cuts}
 
 
 def exact_sample(df: DataFrame, n: int, hash_value: Column, order: list[str]) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: those with the smallest hash, ties by ``order``.
 
     A plain ``orderBy(hash).limit(n)`` sends n rows of every task to one task. Here a
-    histogram over hash slots finds the one slot in which the n-th row lies, a second
-    one the part of it: what is lower is kept where it is, and only that part, one row
-    in 2^32, is ranked. Rows that repeat one key have one hash and are ranked together.
+    histogram job over hash slots finds the one slot in which the n-th row lies, a second
+    one the part of it. What is lower is kept where it is, and only that part, one row in
+    2^32, is ranked. Rows that repeat one key have one hash and are ranked together.
     """
     if n <= 0:
         return df.limit(0)
-    tagged = _tagged(df, hash_value)
-    at, sub_at, need = _cuts(tagged, n)
-    slot, sub = F.col("_slot"), F.col("_sub")
+    cut = cut_points(df, [Family(hash_value, [n])]).get((0, n))
+    if cut is None:
+        return df
+    at, rest = cut
+    sub_at, need = cut_points(df, [Family(hash_value, [rest], _slot(hash_value) == at)], 1)[0, rest]
+    tagged = df.withColumn("_h", hash_value)
+    slot, sub = _slot(F.col("_h")), _slot(F.col("_h"), 1)
     whole = tagged.filter((slot < at) | ((slot == at) & (sub < sub_at)))
-    w = Window.partitionBy("_slot", "_sub").orderBy("_h", *order)
-    partial = tagged.filter((slot == at) & (sub == sub_at)).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= need).drop("_rn")
-    return whole.unionByName(partial).drop("_h", "_slot", "_sub")
-
-
-def nth_smallest(df: DataFrame, n: int, hash_value: Column, key: str) -> Column:
-    """The n-th smallest (hash, key) of ``df`` as a scalar struct; null when n exceeds the rows."""
-    tagged = _tagged(df.select(F.col(key).cast("long").alias("_k"), hash_value.alias("_hash")), F.col("_hash")).drop("_hash")
-    at, sub_at, need = _cuts(tagged, n)
-    w = Window.partitionBy("_slot", "_sub").orderBy("_h", "_k")
-    there = tagged.filter((F.col("_slot") == at) & (F.col("_sub") == sub_at))
-    row = there.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == need)
-    return scalar(row, F.max(F.struct(F.col("_h").alias("h"), F.col("_k").alias("k"))))
+    # one group only; its hash parts are the key, so it is found in the scan
+    part = tagged.filter((slot == at) & (sub == sub_at))
+    ranked = part.withColumn("_rn", F.row_number().over(Window.partitionBy(sub).orderBy("_h", *order)))
+    return whole.unionByName(ranked.filter(F.col("_rn") <= need).drop("_rn")).drop("_h")
+
+
+def nth_smallest(df: DataFrame, families: list[Family], key: str) -> list[dict[int, tuple[int, int] | None]]:
+    """Per family and size n the n-th smallest (hash, key); None when n exceeds the rows.
+
+    Two jobs over ``df`` for all of them: the histogram, and a ranking of the slots that hold
+    the rows asked for, one row in 2^16 each.
+    """
+    cuts = cut_points(df, families)
+    if not cuts:
+        return [{n: None for n in f.sizes} for f in families]
+    rows = _each(df, families, h=lambda h: h, k=lambda _: F.col(key).cast("long"))
+    inside = F.lit(False)
+    for (i, _), (slot, _) in cuts.items():
+        inside = inside | ((F.col("family") == i) & (_slot(F.col("h")) == slot))
+    met = rows.filter(inside).withColumn("slot", _slot(F.col("h")))
+    ranked = met.withColumn("place", F.row_number().over(Window.partitionBy("family", "slot").orderBy("h", "k")))
+    hit = F.lit(False)
+    for (i, _), (slot, place) in cuts.items():
+        hit = hit | ((F.col("family") == i) & (F.col("slot") == slot) & (F.col("place") == place))
+    marks = ranked.filter(hit).agg(F.collect_list(F.struct("family", "slot", "place", "h", "k")).alias("marks")).first().marks
+    at = {(m.family, m.slot, m.place): (m.h, m.k) for m in marks}
+    return [{n: at[i, *cuts[i, n]] if (i, n) in cuts else None for n in f.sizes} for i, f in enumerate(families)]
 
 
 def saved_sample(df: DataFrame, path: str, n: int, hash_value: Column, order: list[str], force: bool = False) -> DataFrame:

@@ -293,7 +293,8 @@ def _corrupt(name, step, replaced: dict[str, str], copies: str | None = None):
         body += f" UNION ALL SELECT {EVENT_COLS} FROM cl WHERE {copies}"
 
     def run(spark, sf):
-        base = clean_set(spark, sf)
+        # counted defects look their rows up in the clean set first, so it is written once
+        base = settle(clean_set(spark, sf), "clean-set") if "LIMIT" in (copies or body) else clean_set(spark, sf)
         return step(corruptor(base), base)
 
     register(name, run, sql(body, DISTINCT, FIRSTS, CLEAN))

@@ -59,3 +59,41 @@ def test_large_parents_are_joined_by_shuffle(spark, sf):
         assert "BroadcastHashJoin" not in plan(spark, sf, "g05_control_tests")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def scans_of_events(spark, sf, name):
+    """Scans of the events in the static plan, what is reused counted once."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return sum("FileScan" in line and "events.parquet" in line for line in plan(spark, sf, name).split("\n"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_all_checks_take_three_scans(spark, sf):
+    # row-level checks; tagged keys of the four keyed checks; rows whose fingerprint comes again
+    assert scans_of_events(spark, sf, "c18_all_checks") <= 3
+    assert scans_of_events(spark, sf, "a08_full_run") <= 3
+
+
+def test_picks_by_count_do_not_multiply_scans(spark, sf):
+    for name in ("s04_exact_sample", "k08_duplicate_rows", "k09_duplicate_txns", "k11_out_of_range_times"):
+        assert scans_of_events(spark, sf, name) <= 4, name
+
+
+def test_tiers_scan_the_clean_set_twice_to_pick(spark, sf, monkeypatch):
+    from plumbline.operators import cleanse
+    from registry import event_queries as ev
+
+    looked = []
+    found = cleanse.nth_smallest
+    monkeypatch.setattr(cleanse, "nth_smallest", lambda df, families, key: looked.append(sum(len(f.sizes) for f in families)) or found(df, families, key))
+    ev.tiers(spark, sf)
+    assert looked == [7]  # all sizes of all tiers in one look-up: a histogram and a ranking
+
+
+def test_duplicate_rows_travel_as_fingerprints(spark, sf):
+    p = plan(spark, sf, "c06_dup_rows")
+    keys = re.findall(r"partial_count[^\n]*", p)
+    assert any("_fp_a" in k and "transactionid" not in k for k in keys)
+    assert "Exchange hashpartitioning(_fp_a" in p

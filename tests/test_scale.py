@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import cleanse, rules
+from plumbline.operators import cleanse, duplicates, rules
 from plumbline.operators.checks import run_checks
 from plumbline.sources import catalog, sampling, store
 from registry import event_data
@@ -168,3 +168,69 @@ def test_relationship_kinds(spark):
         ("1-1", frame(1, 2), frame(1, 2, 3)), ("n-1", frame(1, 1, 9), frame(1, 2)), ("1-n", frame(1), frame(1, 1)), ("n-n", frame(1, 1), frame(1, 1)))}
     assert [kinds[k].cardinality for k in ("1-1", "n-1", "1-n", "n-n")] == ["one-to-one", "many-to-one", "one-to-many", "many-to-many"]
     assert kinds["n-1"].orphan_rows == 1
+
+
+# ---- fingerprints, picks, samples
+@pytest.mark.parametrize("marks", [
+    duplicates.fingerprint,
+    lambda columns: (F.lit(1).cast("bigint"), F.lit(1).cast("bigint")),  # every row collides
+    lambda columns: (F.pmod(F.xxhash64(*columns), F.lit(5)), F.lit(0).cast("bigint")),
+])
+def test_duplicate_counts_are_exact_whatever_collides(spark, hot_rows, marks):
+    df = spark.createDataFrame(hot_rows + hot_rows[:40], EVENT_DDL).repartition(8)
+    copies = collections.Counter(hot_rows + hot_rows[:40])
+    got = duplicates.duplicate_counts(df, [], marks).first()
+    assert (got._rows, got._extra) == (sum(copies.values()), sum(n - 1 for n in copies.values()))
+    by = {r.event: (r._rows, r._extra) for r in duplicates.duplicate_counts(df, ["event"], marks).collect()}
+    for event in {r[3] for r in copies}:
+        own = [n for r, n in copies.items() if r[3] == event]
+        assert by[event] == (sum(own), sum(n - 1 for n in own))
+
+
+def test_rows_that_differ_by_where_a_null_stands_are_no_copies(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", None), (None, None)], "x string, y string")
+    assert tuple(duplicates.duplicate_counts(df, []).first()) == (4, 1)
+    assert duplicates.with_fingerprint(df).select("_fp_a", "_fp_b").distinct().count() == 3
+    assert tuple(duplicates.duplicate_counts(df.limit(0), []).first()) == (0, 0)
+
+
+@pytest.mark.parametrize("tie", [None, "event_id"])
+def test_fused_checks_equal_single_checks(spark, hot_rows, tie):
+    from plumbline.operators.checks import EventRules
+
+    rows = hot_rows + [(9_001 + i, None if i % 2 else 1430438400000, None if i == 2 else 700 + i, ["transaction", "view", None][i % 3], None, None) for i in range(9)]
+    rows += [(-5, 1430438400000, 800, "transaction", 1, "N"), (-6, 1430438400000, 800, "view", 1, None), (9_100, (1 << 62), 801, "transaction", 1, "F")]
+    df = spark.createDataFrame(rows, EVENT_DDL).repartition(8)
+    items = spark.createDataFrame([(i, 1.0) for i in [*range(1, 50), 3, None]], "itemid bigint, categoryid double")
+    keyed = ["UNIQ-001", "UNIQ-002", "CONS-003", "RI-001"]
+    cfg = EventRules(tie=tie)
+    for frame in (df, df.limit(0)):
+        one = {r: run_checks(frame, items, cfg=cfg, rules=[r]).first() for r in keyed}
+        for rules_ in (keyed, keyed[:2], keyed[2:]):
+            for r in run_checks(frame, items, cfg=cfg, rules=rules_).collect():
+                assert (r.total_records, r.failed_records) == (one[r.rule_id].total_records, one[r.rule_id].failed_records), r.rule_id
+
+
+def test_marks_of_many_sizes(spark):
+    df = spark.range(5_000).withColumn("odd", F.col("id") % 2 == 1).repartition(7)
+    families = [sampling.Family(sampling.key_hash(F.col("id"), seed), [1, 17, 400, 9_999], where) for seed, where in ((1, None), (2, F.col("odd")), (3, F.lit(False)))]
+    got = sampling.nth_smallest(df, families, "id")
+    for seed, marks, where in ((1, got[0], lambda i: True), (2, got[1], lambda i: i % 2 == 1)):
+        order = sorted((r.h, r.id) for r in df.select("id", sampling.key_hash(F.col("id"), seed).alias("h")).collect() if where(r.id))
+        assert marks == {n: order[n - 1] if n <= len(order) else None for n in (1, 17, 400, 9_999)}
+    assert got[2] == {1: None, 17: None, 400: None, 9_999: None}
+
+
+def test_large_samples_are_picked_in_levels(spark, hot_rows):
+    from plumbline.operators import checks
+    from plumbline.operators.checks import EventRules
+
+    df = spark.createDataFrame(hot_rows, EVENT_DDL).repartition(8)
+    cfg = EventRules()
+    bad = sorted({r[0] for r in hot_rows if r[3] == "transaction" and r[5] is None})
+    for per_rule in (3, 5_000):
+        got = checks.failing_samples(df.dropDuplicates(["event_id"]), per_rule, cfg, ["event_id"]).filter("rule_id = 'COMP-004'").orderBy("sample_no").collect()
+        assert [(r.sample_no, r.event_id) for r in got] == list(enumerate(bad, 1))[:per_rule]
+    # the first level hands on at most per_rule rows of each bucket
+    first = checks.failing_samples(df, 5, cfg, ["event_id"], buckets=(16,)).groupBy("rule_id", F.pmod(F.xxhash64("event_id"), F.lit(16)).alias("b")).count()
+    assert max(r["count"] for r in first.collect()) <= 5
