@@ -321,7 +321,7 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int
     spread = F.broadcast(heavy_triggers(keyed, length, gram, heavy))
     found = places(keyed, length, gram)
     found = found.join(spread, found["trigger"] == spread["heavy"], "left")
-    salt = F.when(F.col("trigger").isNull(), F.col("mark")).when(F.col("heavy").isNotNull(), F.col("phrase")).otherwise(0)
+    salt = F.when(F.col("trigger").isNull(), F.xxhash64("doc", "at")).when(F.col("heavy").isNotNull(), F.col("phrase")).otherwise(0)
     found = found.select(*PLACES.names, F.when(F.col("heavy").isNotNull(), 1).otherwise(0).alias("spread"), salt.alias("salt"))
     ordered = found.repartition("trigger", "salt").sortWithinPartitions("trigger", "phrase", "doc", "at").drop("salt")
     swept = settle(sweep(ordered), "swept")
