@@ -11,6 +11,7 @@ further columns are not read. Texts are split by the pattern as a whole, whateve
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,9 +23,12 @@ from pyspark.sql import functions as F
 
 from .common import bytes_of, slices
 from .merges import Merges, from_ranks
+from .token_counts import END, Splitter
 
-PIECES_HELD = 100_000
-TEXT_AT_ONCE = 2 << 20
+PIECES_HELD = 250_000  # in each of two generations
+TEXT_AT_ONCE = 1 << 20
+#: fixed value: the pattern whose pieces ``token_counts.Splitter`` finds; for another one the regex itself is run
+SPLITTER_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def last_tokens(merges: Merges, piece: bytes) -> list[int]:
@@ -110,35 +114,63 @@ def load(path: str) -> Merges:
 
 
 class Encoder:
-    """Token ids of texts; pieces seen lately are remembered."""
+    """Token ids of texts. Pieces seen lately are remembered in two generations, so that rare ones
+    push out each other and not the frequent ones."""
 
     def __init__(self, merges: Merges, pattern: str):
-        self.merges, self.split, self.held = merges, regex.compile(pattern).findall, {}
+        self.merges, self.held, self.older = merges, {}, {}
+        self.splitter = Splitter() if pattern == SPLITTER_PATTERN else None
+        self.split = regex.compile(pattern).findall
         self.codes = {i: i.to_bytes(4, "little") for i in merges.text}
         self.sizes = {i: len(b) for i, b in merges.text.items()}
 
+    def pieces(self, texts: list[bytes]) -> tuple[list[bytes], list[int]]:
+        """The pieces of all texts, and where in that list each text ends."""
+        if self.splitter is None:
+            found = [[p.encode() for p in self.split(t.decode())] for t in texts]
+            return [p for f in found for p in f], list(itertools.accumulate(map(len, found)))
+        raw = b"".join([t + b" " for t in texts])  # the blank stands for the end of the text
+        data = raw.decode()
+        points = np.frombuffer(data.encode("utf-32-le"), "<u4")
+        wide = np.cumsum(1 + (points > 0x7F).astype(np.uint8) + (points > 0x7FF) + (points > 0xFFFF), dtype=np.int64)
+        ends = np.searchsorted(wide, np.cumsum([len(t) + 1 for t in texts]))
+        kinds = self.splitter.kinds[points]
+        kinds[ends] = END
+        starts = self.splitter.starts(kinds)
+        owner = np.searchsorted(ends, starts)
+        stops = np.minimum(np.append(starts[1:], len(kinds)), ends[owner])
+        before = np.concatenate([[0], wide])
+        stop = np.cumsum(np.bincount(owner, minlength=len(texts))).tolist()
+        return [raw[i:j] for i, j in zip(before[starts].tolist(), before[stops].tolist())], stop
+
+    def _code(self, piece: bytes) -> bytes:
+        code = self.older.get(piece)
+        if code is None:
+            whole = self.merges.tokens.get(piece)
+            if whole in self.merges.rank:
+                code = self.codes[whole]
+            else:
+                last, at, tokens = last_tokens(self.merges, piece), len(piece), []
+                while at:
+                    tokens.append(self.codes[last[at - 1]])
+                    at -= self.sizes[last[at - 1]]
+                code = b"".join(tokens[::-1])
+        if len(piece) <= 64:
+            if len(self.held) >= PIECES_HELD:
+                self.older = dict(self.held)
+                self.held.clear()
+            self.held[piece] = code
+        return code
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        held, code = self.held.get, self._code
+        pieces, stops = self.pieces(texts)
+        codes = [held(p) or code(p) for p in pieces]
+        return [b"".join(codes[i:j]) for i, j in zip([0, *stops], stops)]
+
     def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        held, out = self.held, []
-        for piece in self.split(text):
-            code = held.get(piece)
-            if code is None:
-                if len(held) >= PIECES_HELD:
-                    held.clear()
-                raw = piece.encode()
-                whole = self.merges.tokens.get(raw)
-                if whole in self.merges.rank:
-                    code = self.codes[whole]
-                else:
-                    last, at, tokens = last_tokens(self.merges, raw), len(raw), []
-                    while at:
-                        tokens.append(self.codes[last[at - 1]])
-                        at -= self.sizes[last[at - 1]]
-                    code = b"".join(tokens[::-1])
-                if len(raw) <= 64:
-                    held[piece] = code
-            out.append(code)
-        return b"".join(out)
+        return self.encode([text.encode()])[0]
 
     def text(self, ids: bytes) -> bytes:
         return b"".join(map(self.merges.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -155,7 +187,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path, pattern)
         for rows in slices(batches, "text", TEXT_AT_ONCE):
-            ids = [made.ids(t.decode()) for t in bytes_of(rows.column("text"))]
+            ids = made.encode(bytes_of(rows.column("text")))
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "token_ids"])
 
     schema = docs.select("doc_id", F.lit(b"").alias("token_ids")).schema
@@ -179,7 +211,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path, pattern)
         for rows in slices(batches, "text", TEXT_AT_ONCE):
-            ids = [made.ids(t.decode()) for t in bytes_of(rows.column("text"))]
+            ids = made.encode(bytes_of(rows.column("text")))
             back = [made.text(i) for i in ids]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array(back, pa.binary())], ["doc_id", "token_ids", "decoded"])
 

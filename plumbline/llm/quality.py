@@ -58,12 +58,14 @@ class Pieces:
 
     def __call__(self, text: bytes) -> np.ndarray:
         held, words = self.held, text.split()
-        for w in words:
-            if w not in held:
-                if len(held) >= WORDS_HELD:
-                    held.clear()
-                    return self(text) if len(words) < WORDS_HELD else np.array([b for w in words for b in buckets(w)], np.int32)
-                held[w] = buckets(w)
+        new = set(words).difference(held)
+        if len(held) + len(new) > WORDS_HELD:
+            held.clear()
+            new = set(words)
+            if len(new) > WORDS_HELD:
+                return np.array([b for w in words for b in buckets(w)], np.int32)
+        for w in new:
+            held[w] = buckets(w)
         return np.fromiter(chain.from_iterable(map(held.__getitem__, words)), np.int32)
 
 
@@ -71,18 +73,23 @@ def buckets(word: bytes) -> tuple[int, ...]:
     return tuple(xxhash.xxh32_intdigest(p) % BUCKETS for p in PIECES.findall(word))
 
 
-def index_vectors() -> np.ndarray:
+def index_places() -> tuple[np.ndarray, np.ndarray]:
     """Per bucket NONZERO places of 1 or -1, drawn by hash; places may repeat."""
-    draws = mix64(np.arange(BUCKETS * NONZERO, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    draws = mix64(np.arange(BUCKETS * NONZERO, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)).reshape(BUCKETS, NONZERO)
+    return (draws % np.uint64(DIM)).astype(np.int64), np.where(draws >> np.uint64(40) & np.uint64(1), 1.0, -1.0)
+
+
+def index_vectors() -> np.ndarray:
+    """The index vectors as a table, BUCKETS rows."""
     out = np.zeros((BUCKETS, DIM), np.int32)
-    rows = np.repeat(np.arange(BUCKETS), NONZERO)
-    np.add.at(out, (rows, (draws % np.uint64(DIM)).astype(int)), np.where(draws >> np.uint64(40) & np.uint64(1), 1, -1))
+    places, signs = index_places()
+    np.add.at(out, (np.arange(BUCKETS)[:, None], places), signs.astype(np.int32))
     return out
 
 
 def contexts(docs: DataFrame) -> DataFrame:
     """block, sums: for BLOCK buckets the sums of the index vectors around their pieces."""
-    index = index_vectors()
+    index = index_places()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, pieces, any_rows = np.zeros((BUCKETS, DIM)), Pieces(), False
@@ -120,14 +127,12 @@ def contexts(docs: DataFrame) -> DataFrame:
     return counted.repartition("block", "merger").mapInArrow(add, schema).repartition("block").mapInArrow(add, schema)
 
 
-def _add(sums: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, index: np.ndarray) -> None:
-    """Index vectors of b around a and of a around b, n times each."""
+def _add(sums: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> None:
+    """Index vectors of b around a and of a around b, n times each; only their few places are touched."""
+    places, signs = index
     for here, there in ((a, b), (b, a)):
-        order = np.argsort(here, kind="stable")
-        here, weighed = here[order], index[there[order]] * n[order, None]
-        first = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])) if len(here) else []
-        if len(first):
-            sums[here[first]] += np.add.reduceat(weighed, first, axis=0)
+        at = here[:, None] * DIM + places[there]
+        sums += np.bincount(at.ravel(), (signs[there] * n[:, None]).ravel(), minlength=sums.size).reshape(sums.shape)
 
 
 def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
