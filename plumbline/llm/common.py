@@ -19,6 +19,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where ``docs`` has a column of that name (in any case)."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

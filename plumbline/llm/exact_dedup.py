@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, settle, slices
+from .common import bytes_of, free_names, settle, slices
 
 COUNTERS = 1024
 TEXT_AT_ONCE = 4 << 20
@@ -78,19 +78,17 @@ def assign(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def deduplicate(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The documents that stay, all columns; copies are removed by (doc_id, digest)."""
-    pairs = settle(
-        assign(docs, counters).groupBy("doc_id", "digest_").agg(F.bool_or("kept").alias("any_kept"), F.count(F.lit(1)).alias("rows_"))
-        .filter("not any_kept or rows_ > 1"), "dropped")
-    renamed = pairs.select(F.col("doc_id").alias("id_"), F.col("digest_").alias("other_"), "any_kept")
-    table = with_digest(docs)
+    digest, other, key, kept, rows = free_names(docs, "digest_", "other_", "id_", "any_kept_", "rows_")
+    pairs = assign(docs.select("doc_id", "text"), counters).groupBy(F.col("doc_id").alias(key), F.col("digest_").alias(other))
+    pairs = settle(pairs.agg(F.bool_or("kept").alias(kept), F.count(F.lit(1)).alias(rows)).filter(~F.col(kept) | (F.col(rows) > 1)), "dropped")
+    table = with_digest(docs, out=digest)
 
     def matches(side: DataFrame):
-        return table["digest_"].eqNullSafe(side["other_"]) & table["doc_id"].eqNullSafe(side["id_"])
+        return table[digest].eqNullSafe(side[other]) & table["doc_id"].eqNullSafe(side[key])
 
-    all_pairs = renamed.hint("shuffle_hash")
-    single = table.join(all_pairs, matches(all_pairs), "left_anti")
-    again = renamed.filter("any_kept").hint("shuffle_hash")
+    single = table.join(pairs, matches(pairs), "left_anti")
+    again = pairs.filter(kept)
     if again.isEmpty():
-        return single.drop("digest_")
-    repeated = table.join(again, matches(again), "left_semi").dropDuplicates(["doc_id", "digest_"])
-    return single.unionByName(repeated).drop("digest_")
+        return single.drop(digest)
+    repeated = table.join(again, matches(again), "left_semi").dropDuplicates(["doc_id", digest])
+    return single.unionByName(repeated).drop(digest)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, id_remainder, mix64, settle, slices
+from .common import bytes_of, free_names, id_remainder, mix64, settle, slices
 
 ORDER = 5
 PER_LANGUAGE = 2_000
@@ -330,10 +330,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, order: int = ORDER) -
     return made
 
 
-def predict(docs: DataFrame, model: Identifier) -> DataFrame:
-    """``docs`` with lang_pred, score and rejected."""
+NAMES = ("lang_pred_", "lang_score_", "lang_rejected_")
+
+
+def predict(docs: DataFrame, model: Identifier, names: tuple | list = NAMES) -> DataFrame:
+    """``docs`` with the predicted language, its score and whether it is rejected, under ``names``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ("lang_pred_", "lang_score_", "lang_rejected_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "text", TEXT_AT_ONCE):
@@ -344,6 +346,13 @@ def predict(docs: DataFrame, model: Identifier) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def keep_learned(docs: DataFrame, model: Identifier) -> DataFrame:
+    """The documents that are not rejected, ``lang`` as predicted; further columns, whatever their names, are carried."""
+    pred, score, rejected = free_names(docs, *NAMES)
+    rows = predict(docs, model, (pred, score, rejected)).filter(~F.col(rejected))
+    return rows.select(*[F.col(pred).alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+
+
 def learned_rows(doc_id: Column) -> Column:
     return id_remainder(doc_id, 3) != 1
 

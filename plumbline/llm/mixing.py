@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle, split_column
+from .common import free_names, settle, split_column
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -107,21 +107,22 @@ def sample_text(docs: DataFrame, **parameters) -> DataFrame:
 
     A document is repeated whole for each whole epoch; the one at the budget's end enters the
     last epoch with the words up to the cut. A document without words costs nothing and stays.
+    Further columns, whatever their names, are carried.
     """
     text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    plan = mix(docs, **parameters).groupBy("doc_id", "key_").agg(
-        F.max("size").alias("size_"), F.sum("taken").alias("taken_"), F.count(F.lit(1)).alias("rows_"))
-    plan = plan.filter("taken_ > 0 or size_ = 0").select(F.col("doc_id").alias("id_"), F.col("key_").alias("plan_key_"), "size_", "taken_", "rows_")
+    size_, taken_, rows_, id_, plan_key, doc_key = free_names(docs, "size_", "taken_", "rows_", "id_", "plan_key_", "doc_key_")
+    plan = mix(docs.select("doc_id", "source", "text"), **parameters).groupBy(F.col("doc_id").alias(id_), F.col("key_").alias(plan_key)).agg(
+        F.max("size").alias(size_), F.sum("taken").alias(taken_), F.count(F.lit(1)).alias(rows_))
+    plan = plan.filter((F.col(taken_) > 0) | (F.col(size_) == 0))
     seed = parameters.get("seed", 7)
-    keyed = docs.withColumn("doc_key_", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_key))
-    small = plan.hint("shuffle_hash")
-    joined = keyed.join(small, keyed["doc_id"].eqNullSafe(small["id_"]) & (keyed["doc_key_"] == small["plan_key_"]))
+    keyed = docs.withColumn(doc_key, F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_key))
+    joined = keyed.join(plan, keyed["doc_id"].eqNullSafe(plan[id_]) & (keyed[doc_key] == plan[plan_key]))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, cuts = [], []
-            for i, (size, taken, same) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("size_", "taken_", "rows_")))):
+            for i, (size, taken, same) in enumerate(zip(*(batch.column(c).to_pylist() for c in (size_, taken_, rows_)))):
                 whole, part = divmod(-(-taken // same), size) if size else (1, 0)  # rows that repeat share evenly
                 rows += [i] * (whole + (part > 0))
                 cuts += [None] * whole + [part] * (part > 0)
@@ -131,4 +132,4 @@ def sample_text(docs: DataFrame, **parameters) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(taken_rows.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return joined.select(*docs.columns, "size_", "taken_", "rows_").mapInArrow(run, schema)
+    return joined.select(*docs.columns, size_, taken_, rows_).mapInArrow(run, schema)

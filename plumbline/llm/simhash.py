@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, mix64, settle, slices, words_of
+from .common import bytes_of, free_names, mix64, settle, slices, words_of
 
 SHINGLE = 4
 BITS = 4
@@ -221,19 +221,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, p
 def keep_one(docs: DataFrame, find: Callable = near_duplicates, mark: Callable = with_fingerprint, **parameters) -> DataFrame:
     """The documents that stay, all columns: one per component, with the smallest doc_id.
 
-    A null id counts as the largest. Of rows of a component that share that id, the one with
+    Further columns, whatever their names, are carried. A null id counts as the largest. Of rows of a component that share that id, the one with
     the smallest fingerprint stays, and one of rows that share that too.
     """
     found = settle(find(docs, **parameters), "components")
+    id_, fp_, stays, doc_fp = free_names(docs, "id_", "fp_", "stays_", "doc_fp_")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
-    firsts = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("id_"), F.col("first.fp").alias("fp_"))
+    firsts = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias(id_), F.col("first.fp").alias(fp_))
     firsts = settle(firsts, "firsts")
-    ids = found.groupBy("doc_id").count().join(firsts.select(F.col("id_"), F.lit(True).alias("stays")).distinct(), F.col("doc_id").eqNullSafe(F.col("id_")), "left")
-    ids = settle(ids.filter("stays is null or count > 1").select(F.col("doc_id").alias("id_"), "stays"), "dropped")
-    gone, again = ids.hint("shuffle_hash"), ids.filter("stays")
-    single = docs.join(gone, docs["doc_id"].eqNullSafe(gone["id_"]), "left_anti")
+    chosen = firsts.select(id_, F.lit(True).alias(stays)).distinct()
+    ids = found.groupBy("doc_id").count().join(chosen, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+    ids = settle(ids.filter(F.col(stays).isNull() | (F.col("count") > 1)).select(F.col("doc_id").alias(id_), stays), "dropped")
+    again = ids.filter(stays)
+    single = docs.join(ids, docs["doc_id"].eqNullSafe(ids[id_]), "left_anti")
     if again.isEmpty():
         return single
-    some = mark(docs.join(again, docs["doc_id"].eqNullSafe(again["id_"]), "left_semi"), out="doc_fp_")
-    some = some.join(firsts, some["doc_id"].eqNullSafe(firsts["id_"]) & (some["doc_fp_"] == firsts["fp_"]), "left_semi")
-    return single.unionByName(some.dropDuplicates(["doc_id", "doc_fp_"]).drop("doc_fp_"))
+    some = mark(docs.join(again, docs["doc_id"].eqNullSafe(again[id_]), "left_semi"), out=doc_fp)
+    some = some.join(firsts, some["doc_id"].eqNullSafe(firsts[id_]) & (some[doc_fp] == firsts[fp_]), "left_semi")
+    return single.unionByName(some.dropDuplicates(["doc_id", doc_fp]).drop(doc_fp))
