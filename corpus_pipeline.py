@@ -19,8 +19,7 @@ from plumbline.llm.queries import pattern, vocabulary
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, ``lang`` as predicted; those without letters or in none of the languages go."""
     model = language_id.fit(docs.filter(language_id.learned_rows(F.col("doc_id"))))
-    rows = language_id.predict(docs, model).filter(~F.col("lang_rejected_"))
-    return rows.select(*[F.col("lang_pred_").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    return language_id.keep_learned(docs, model)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
