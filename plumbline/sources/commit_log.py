@@ -29,10 +29,11 @@ SNAPSHOT = 16
 
 @dataclass(frozen=True)
 class Snapshot:
-    """The table as of one manifest; ``version`` is -1 before the first."""
+    """The table as of one manifest; ``version`` is -1 before the first, ``note`` what its writer left."""
 
     version: int
     folders: tuple[str, ...]
+    note: str | None = None
 
 
 class CommitLog:
@@ -68,29 +69,33 @@ class CommitLog:
         known = [v for v in self.versions() if version is None or v <= version]
         if not known:
             return Snapshot(-1, ())
-        later = []
+        later, note = [], None
         live: list[str] = []
         for v in reversed(known):
             manifest = self._read(v)
+            note = manifest.get("note") if v == known[-1] else note
             if "live" in manifest:
                 live = list(manifest["live"])
                 break
             later.append(manifest)
         for manifest in reversed(later):
             live = [f for f in live if f not in set(manifest["removed"])] + manifest["added"]
-        return Snapshot(known[-1], tuple(live))
+        return Snapshot(known[-1], tuple(live), note)
 
-    def stage(self) -> str:
-        """A fresh folder (relative to the table) to write rows to before they are published."""
-        return f"data/commit=c{uuid.uuid4().hex}"
+    def stage(self, mark: str = "") -> str:
+        """A fresh folder (relative to the table) to write rows to before they are published; ``mark`` ends its name."""
+        return f"data/commit=c{uuid.uuid4().hex}{mark}"
 
     def location(self, folder: str) -> str:
         return f"{self.root}/{folder}"
 
-    def publish(self, base: Snapshot, added: list[str], removed: tuple[str, ...] | list[str] = ()) -> bool:
-        """Make ``added`` visible and ``removed`` invisible; False if ``base`` is not the last snapshot any more."""
+    def publish(self, base: Snapshot, added: list[str], removed: tuple[str, ...] | list[str] = (), note: str | None = None) -> bool:
+        """Make ``added`` visible and ``removed`` invisible; False if ``base`` is not the last snapshot any more.
+
+        ``note`` goes with the snapshot: what a writer has dealt with so far, say.
+        """
         version = base.version + 1
-        manifest = {"added": list(added), "removed": list(removed), "time": time.time()}
+        manifest = {"added": list(added), "removed": list(removed), "note": note, "time": time.time()}
         if version % SNAPSHOT == 0:
             manifest["live"] = [f for f in base.folders if f not in set(removed)] + list(added)
         return self._create(self._file(version), json.dumps(manifest))
@@ -129,6 +134,29 @@ class CommitLog:
     def _local(self, name: str) -> str:
         return unquote(urlparse(self._path(name).toUri().toString()).path)
 
+    def expire(self, keep: int = 1) -> None:
+        """Forget versions before the last ``keep`` ones, with the folders only they name.
+
+        For a log with one writer. Readers of older snapshots must have finished.
+        """
+        known = self.versions()[-keep:]
+        if not known:
+            return
+        alive = {f for v in known for f in self.snapshot(v).folders}
+        first = self.snapshot(known[0])
+        manifest = self._read(known[0])
+        if "live" not in manifest:  # what comes before it will not be read any more
+            text = json.dumps({**manifest, "live": list(first.folders)})
+            stream = self._fs.create(self._path(self._file(known[0])), True)
+            stream.write(bytearray(text, "utf-8"))
+            stream.close()
+        for v in self.versions():
+            if v < known[0]:
+                self._fs.delete(self._path(self._file(v)), False)
+        for name in self._names("data"):
+            if f"data/{name}" not in alive:
+                self._fs.delete(self._path(f"data/{name}"), True)
+
     def vacuum(self, older_than_seconds: float) -> list[str]:
         """Delete data folders that no manifest of any version names, once they are that old; returns them."""
         named = set()

@@ -270,8 +270,9 @@ def _incremental(spark, sf):
         per_key = controls.control_counters(batch, ["user_id", F.to_date("ts").alias("test_date")], gov_controls())
         return controls.roll_up(per_key.join(owners, "user_id"), ["dataset_id", "test_date"])
 
-    control_stream.start_counters(_stream(spark, sf), counters, f"{base}/counters", f"{base}/progress").awaitTermination()
-    return controls.test_results(control_stream.accumulated(spark, f"{base}/counters", ["dataset_id", "test_date"]), g.rulebook, g.bridge)
+    keys = ["dataset_id", "test_date"]
+    control_stream.start_counters(_stream(spark, sf), counters, f"{base}/counters", f"{base}/progress", keys).awaitTermination()
+    return controls.test_results(control_stream.accumulated(spark, f"{base}/counters", keys), g.rulebook, g.bridge)
 
 
 register("e02_incremental_tests", _incremental,

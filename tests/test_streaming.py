@@ -29,8 +29,9 @@ def test_incremental_control_tests(spark, sf, tmp_path):
 
     out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
     for _ in range(2):  # the second start finds nothing new
-        control_stream.start_counters(stream, counters, out, progress).awaitTermination()
-    assert len(list((tmp_path / "out").iterdir())) == 4
+        control_stream.start_counters(stream, counters, out, progress, ["dataset_id", "test_date"]).awaitTermination()
+    log = control_stream.CounterLog(spark, out, ["dataset_id", "test_date"])
+    assert log.log.snapshot().note == "3" and len(log.log.snapshot().folders) == 1  # four batches, merged
     got = controls.test_results(control_stream.accumulated(spark, out, ["dataset_id", "test_date"]), g.rulebook, g.bridge)
     assert sorted(got.collect()) == sorted(g.tests.collect())
 
@@ -54,3 +55,43 @@ def test_missed_windows_are_the_empty_ones(spark):
     df = spark.createDataFrame(rows, "k string, t string").select("k", F.col("t").cast("timestamp").alias("window_start"))
     got = [(r.k, str(r.missed_window)) for r in arrivals.each_window(arrivals.missed_windows(df, "k"), "k").orderBy("missed_window").collect()]
     assert got == [("a", f"2024-01-01 00:{m}:00") for m in ("15", "30", "45")]
+
+
+def _counts(spark, n):
+    return spark.createDataFrame([(n % 3, 1, n)], "k int, n_total bigint, n_fail bigint")
+
+
+def test_counters_of_many_batches_stay_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(control_stream, "roll_up", lambda df, keys: df.groupBy(*keys).agg(F.sum("n_total").alias("n_total"), F.sum("n_fail").alias("n_fail")))
+    log = control_stream.CounterLog(spark, str(tmp_path / "c"), ["k"])
+    batches = 70
+    for n in range(batches):
+        assert log.add(_counts(spark, n), n)
+        if n in (5, 63):
+            assert not log.add(_counts(spark, n), n)  # the same batch once more
+    want = {k: (sum(1 for n in range(batches) if n % 3 == k), sum(n for n in range(batches) if n % 3 == k)) for k in range(3)}
+    assert {r.k: (r.n_total, r.n_fail) for r in log.read().collect()} == want
+    # at most three folders in each of log4(n) levels: 70 is 1012 to the base of four; 1,000 is 33220, ten folders
+    assert len(log.log.snapshot().folders) == 1 + 0 + 1 + 2
+    assert len(log.log._names("data")) < 20 and len(log.log.versions()) <= 3
+
+
+def test_a_batch_that_fails_before_it_is_published_counts_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(control_stream, "roll_up", lambda df, keys: df.groupBy(*keys).agg(F.sum("n_total").alias("n_total"), F.sum("n_fail").alias("n_fail")))
+    log = control_stream.CounterLog(spark, str(tmp_path / "c"), ["k"])
+    log.add(_counts(spark, 0), 0)
+
+    def stop(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(control_stream.CommitLog, "publish", stop)
+        for _ in range(2):
+            try:
+                log.add(_counts(spark, 1), 1)
+            except OSError:
+                pass
+    assert sum(r.n_total for r in log.read().collect()) == 1
+    assert log.add(_counts(spark, 1), 1) and sum(r.n_total for r in log.read().collect()) == 2
+    log.add(_counts(spark, 2), 2)
+    assert len(log.log._names("data")) <= 3  # what the failed attempts left is gone
