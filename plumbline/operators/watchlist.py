@@ -252,28 +252,50 @@ def floor_check(rates: DataFrame, floor: float = V.TREND_FLOOR) -> DataFrame:
     )
 
 
+SUMS = ("rate_hundredths", "rate_tests", "null_cells", "cells", "dup_rows", "profiled_rows")
+
+
+def daily_rows(tests: DataFrame, profile: DataFrame) -> DataFrame:
+    """What the watchlist of any date is summed from: one row per dataset and day."""
+    return daily_failures(tests).join(profile, ["dataset_id", "test_date"], "full")
+
+
+def _rates_of(sums: dict[str, Column], sketch: Column | None, name: str) -> dict[str, Column]:
+    repeats = sums["dup_rows"] if sketch is None else _repeats(sums["profiled_rows"], sketch)
+    return {
+        f"control_failure_rate_{name}": _mean(sums["rate_hundredths"], sums["rate_tests"]),
+        f"null_rate_{name}": _rate(sums["null_cells"], sums["cells"]),
+        f"duplicate_rate_{name}": _rate(repeats, sums["profiled_rows"])}
+
+
+def _judged(rates: DataFrame) -> DataFrame:
+    known = rates.dropna(subset=[f"{n}_{p}" for n in SIGNALS.values() for p in ("early", "recent")])
+    return signal_counts(add_trends(known)).withColumn("watchlist_status", status_of(F.col("det_count")))
+
+
+def status_on(days: DataFrame, day: Column, split: int = V.TREND_SPLIT_DAYS, early_days: int = V.TREND_SPLIT_DAYS) -> DataFrame:
+    """Status on one day of every dataset that has a row on it, from the ``daily_rows`` of its two periods."""
+    c = F.col
+    aggs = [F.bool_or(c("test_date") == day).alias("_today")]
+    for name, period in zip(("early", "recent"), _periods(day, split, early_days)):
+        sums = {m: F.sum(F.when(period, c(m))) for m in SUMS}
+        sketch = F.theta_union_agg(F.when(period, c("key_sketch")), F.lit(SKETCH)) if "key_sketch" in days.columns else None
+        aggs += [v.alias(k) for k, v in _rates_of(sums, sketch, name).items()]
+    return _judged(days.groupBy("dataset_id").agg(*aggs).filter("_today").drop("_today").withColumn("test_date", day))
+
+
 def history(tests: DataFrame, profile: DataFrame, early=(-29, -15), recent=(-14, 0)) -> DataFrame:
     """Watchlist status of every dataset on every day, from rolling windows.
 
     Runs over one row per (dataset, day); the windows are partitioned by dataset. With sketches
     in the profile, repeats are those over the whole window: the sketches of its days are merged.
     """
-    c = F.col
-    days = daily_failures(tests).join(profile, ["dataset_id", "test_date"], "full").withColumn("_day", F.unix_date("test_date"))
-    out = days
+    out = daily_rows(tests, profile).withColumn("_day", F.unix_date("test_date"))
     for name, (lo, hi) in {"early": early, "recent": recent}.items():
         w = Window.partitionBy("dataset_id").orderBy("_day").rangeBetween(lo, hi)
-        s = {m: F.sum(m).over(w) for m in ("rate_hundredths", "rate_tests", "null_cells", "cells", "dup_rows", "profiled_rows")}
-        repeats = s["dup_rows"]
-        if "key_sketch" in profile.columns:
-            repeats = _repeats(s["profiled_rows"], F.theta_union_agg("key_sketch", F.lit(SKETCH)).over(w))
-        out = (
-            out.withColumn(f"control_failure_rate_{name}", _mean(s["rate_hundredths"], s["rate_tests"]))
-            .withColumn(f"null_rate_{name}", _rate(s["null_cells"], s["cells"]))
-            .withColumn(f"duplicate_rate_{name}", _rate(repeats, s["profiled_rows"]))
-        )
-    out = out.dropna(subset=[f"{n}_{p}" for n in SIGNALS.values() for p in ("early", "recent")])
-    return signal_counts(add_trends(out)).withColumn("watchlist_status", status_of(c("det_count")))
+        sketch = F.theta_union_agg("key_sketch", F.lit(SKETCH)).over(w) if "key_sketch" in profile.columns else None
+        out = out.withColumns(_rates_of({m: F.sum(m).over(w) for m in SUMS}, sketch, name))
+    return _judged(out)
 
 
 def lead_time(hist: DataFrame, first_exceptions: DataFrame) -> DataFrame:

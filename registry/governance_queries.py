@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from plumbline import fixed_values as V
 from plumbline.operators import analysis, controls, exceptions, remediation, review, trust, watchlist
+from plumbline.plans.watchlist_days import WatchlistDays
+from plumbline.session import settle, shared_folder
 
 from .core import register
 from .governance_data import AS_OF, Governance, sql
@@ -115,6 +118,22 @@ layered("w10_floor_check", lambda g: watchlist.floor_check(g.rates()),
 layered("w11_damped_trend", lambda g: _trends(g, 0.5).select("dataset_id", *TREND_COLS, "det_count"), f"SELECT dataset_id, {', '.join(TREND_COLS)}, det_count FROM wlm_c")
 add("w12_watchlist_history", lambda g: g.history.select("dataset_id", "test_date", "det_count", "imp_count", "watchlist_status"),
     "SELECT dataset_id, test_date, det_count, imp_count, watchlist_status FROM wh")
+
+
+def _day_by_day(g: Governance) -> DataFrame:
+    """The last three days added one by one to a state that holds the days before them."""
+    rows = settle(watchlist.daily_rows(g.tests, g.profile), "daily-rows")
+    last = rows.agg(F.max("test_date").alias("v")).first().v
+    kept = WatchlistDays(g.spark, shared_folder(g.spark, "watchlist-days"))
+    before = last - dt.timedelta(days=3)
+    kept.log.publish(kept.log.snapshot(), [kept._write(rows.filter(c("test_date") <= F.lit(before)), "-state")], note=before.isoformat())
+    for back in (2, 1, 0, 0):  # the last day twice: it is added once
+        kept.add(rows, last - dt.timedelta(days=back))
+    return kept.history()
+
+
+layered("w12d_history_day_by_day", lambda g: _day_by_day(g).select("dataset_id", "test_date", "det_count", "imp_count", "watchlist_status"),
+    "SELECT dataset_id, test_date, det_count, imp_count, watchlist_status FROM wh WHERE test_date > (SELECT max(test_date) FROM wh0) - 3")
 FIRST_EXC = "SELECT dataset_id, min(test_date) AS first_exception FROM gt JOIN rb USING (rule_id) WHERE status = 'Fail' AND severity = 'Critical' GROUP BY 1"
 
 

@@ -163,3 +163,27 @@ def test_one_row_per_run_id(spark, tmp_path):
     for _ in range(2):
         st.append_run_log(runs)
     assert sorted((r.run_id, r.total_records) for r in st.read("dq_run_log").collect()) == [("r1", 3), ("r2", 1)]
+
+
+def test_a_history_kept_day_by_day_equals_the_batch(spark, tmp_path):
+    import datetime as dt
+
+    from plumbline.plans.watchlist_days import WatchlistDays
+
+    tests = _history(spark, 60, 25).filter(F.col("test_date") != "2024-02-10")  # one day without tests
+    keys = [("D1", str(dt.date(2024, 1, 1) + dt.timedelta(days=d)), k) for d in range(60) for k in ("a", f"k{d % 9}", None)[: 1 + d % 3]]
+    _, measured = _key_rows(spark, keys)
+    rows = watchlist.daily_rows(tests, measured).cache()
+    want = {r.test_date: r for r in watchlist.history(tests, measured).collect()}
+    first = dt.date(2024, 1, 1)
+    kept = WatchlistDays(spark, str(tmp_path / "again"))
+    start = first + dt.timedelta(days=44)
+    kept.log.publish(kept.log.snapshot(), [kept._write(rows.filter(F.col("test_date") < F.lit(start)), "-state")], note=(start - dt.timedelta(days=1)).isoformat())
+    for d in range(44, 60):
+        assert kept.add(rows, first + dt.timedelta(days=d))
+    assert not kept.add(rows, first + dt.timedelta(days=50))
+    got = kept.history().collect()
+    columns = ["dataset_id", "det_count", "imp_count", "watchlist_status", "null_rate_early", "duplicate_rate_early", "duplicate_rate_recent", "control_failure_rate_recent"]
+    assert {r.test_date: [r[c] for c in columns] for r in got} == {day: [r[c] for c in columns] for day, r in want.items() if day >= start}
+    assert kept.state().agg(F.countDistinct("test_date")).first()[0] == 30
+    assert kept.state().filter(F.col("test_date") < "2024-01-31").isEmpty()
