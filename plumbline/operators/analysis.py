@@ -227,8 +227,12 @@ def co_failures(tests: DataFrame) -> DataFrame:
 
 
 def driver_rules(tests: DataFrame, inventory: DataFrame, as_of=None, top: int = 3) -> DataFrame:
-    """Per domain, the rules whose mean effectiveness fell most from the early to the recent period."""
+    """Per domain, the rules whose mean effectiveness fell most from the early to the recent period.
+
+    The periods are those of the watchlist: the 15 days up to the date, and the 15 before them.
+    """
     cut = F.date_sub(as_of_date(tests, as_of), V.TREND_SPLIT_DAYS)
+    tests = tests.filter(c("test_date") > F.date_sub(cut, V.TREND_SPLIT_DAYS))
     early = c("test_date") <= cut
     units = hundredths(c("control_effectiveness"))
     per_pair = known_by(tests, as_of).groupBy("dataset_id", "rule_id").agg(

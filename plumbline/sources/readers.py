@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +42,10 @@ def _scan(spark: SparkSession, paths: list[str], header: tuple, schema: T.Struct
 def read_table(spark: SparkSession, paths, schema: T.StructType, fmt: str = "csv", required=None, null_tokens=NULL_TOKENS) -> DataFrame:
     """Scan one or many files with a declared schema; columns are found by their header names.
 
-    Paths may differ in the order of their columns (files under one path share it):
-    those with one header are scanned together and the scans are united by name. Header names may be quoted and are
-    trimmed. ``required`` columns (by default all) must be there, else a ValueError.
+    Every file may have its own order of columns, also inside one folder: the files are grouped
+    by their first lines, each group is one scan and the scans are united by name. Header names
+    may be quoted and are trimmed. ``required`` columns (by default all) must be in every file
+    that has a header, else a ValueError; files without any line hold no rows.
 
     Numeric fields may be written as ``12`` or ``12.0`` (files that went through a
     floating-point column), so a CSV is scanned as text and each field converted with
@@ -55,9 +57,9 @@ def read_table(spark: SparkSession, paths, schema: T.StructType, fmt: str = "csv
         df = spark.read.schema(schema).format(fmt).load(paths)
         return df.toDF(*[c.strip() for c in df.columns])
     required = schema.fieldNames() if required is None else required
-    groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        groups.setdefault(_header(spark, path), []).append(path)
+    groups = files_by_header(spark, paths)
+    if len(groups) == 1:
+        groups = {header: paths for header in groups}  # one kind of file: scan the paths as given
     out = None
     for header, files in groups.items():
         part = _scan(spark, files, header, schema, required, null_tokens)
@@ -65,13 +67,34 @@ def read_table(spark: SparkSession, paths, schema: T.StructType, fmt: str = "csv
     return out
 
 
-def _header(spark: SparkSession, path: str) -> tuple:
-    """Column names of the first line under a path, read as CSV."""
-    line = spark.read.text(path).first()
-    if line is None:
-        return ()
-    names = next(csv.reader([line[0]]))
-    return tuple(n.strip().strip("\ufeff") for n in names)
+def files_by_header(spark: SparkSession, paths: list[str], at_once: int = 16) -> dict[tuple, list[str]]:
+    """The files under some paths, grouped by the column names of their first lines.
+
+    Like the listing of the files this is the driver's: it opens each file for one line, many at
+    a time, in any store Spark reads from. Files without a line are left out; if none has one,
+    all are one group without columns.
+    """
+    files = spark.read.text(paths).inputFiles()  # as URIs
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def header(file: str) -> tuple[str, tuple]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        stream = path.getFileSystem(conf).open(path)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            line = lines.readLine()
+        finally:
+            lines.close()
+        return path.toString(), () if line is None else tuple(n.strip().strip("\ufeff").strip('"') for n in next(csv.reader([line])))
+
+    groups: dict[tuple, list[str]] = {}
+    with ThreadPoolExecutor(at_once) as pool:
+        for file, names in pool.map(header, files):
+            groups.setdefault(names, []).append(file)
+    if len(groups) > 1:
+        groups.pop((), None)
+    return groups or {(): paths}
 
 
 def load_events(spark: SparkSession, full: str, sample: str | None = None, path: str | None = None, use_sample: bool = True) -> DataFrame:

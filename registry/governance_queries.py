@@ -283,7 +283,7 @@ layered("d37_table_counts",
 layered("d37b_enterprise_row", lambda g: g.trust.filter(c("domain") == V.ENTERPRISE).select("domain", "trust_score"), "SELECT domain, trust_score FROM tr WHERE domain = 'Enterprise (Overall)'")
 EARLY = f"test_date <= {AS_OF} - 15"
 add("d38_driver_rules", lambda g: analysis.driver_rules(g.tests, g.inventory, g.as_of),
-    f"SELECT domain, rule_id, change, CAST(driver_rank AS INT) AS driver_rank FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY change, rule_id) AS driver_rank FROM (SELECT domain, rule_id, round(sum(h) FILTER (WHERE NOT e) / (100e0 * count(*) FILTER (WHERE NOT e)) - sum(h) FILTER (WHERE e) / (100e0 * count(*) FILTER (WHERE e)), 2) AS change FROM (SELECT domain, rule_id, {EARLY} AS e, CAST(round(control_effectiveness * 100) AS BIGINT) AS h FROM gt JOIN inv USING (dataset_id)) GROUP BY 1, 2 HAVING bool_or(e) AND bool_or(NOT e))) WHERE driver_rank <= 3")
+    f"SELECT domain, rule_id, change, CAST(driver_rank AS INT) AS driver_rank FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY change, rule_id) AS driver_rank FROM (SELECT domain, rule_id, round(sum(h) FILTER (WHERE NOT e) / (100e0 * count(*) FILTER (WHERE NOT e)) - sum(h) FILTER (WHERE e) / (100e0 * count(*) FILTER (WHERE e)), 2) AS change FROM (SELECT domain, rule_id, {EARLY} AS e, CAST(round(control_effectiveness * 100) AS BIGINT) AS h FROM gt JOIN inv USING (dataset_id) WHERE test_date > {AS_OF} - 30) GROUP BY 1, 2 HAVING bool_or(e) AND bool_or(NOT e))) WHERE driver_rank <= 3")
 TARGETS = {"High": 95.0, "Medium": 85.0, "Low": 75.0}
 add("d39_tier_targets", lambda g: analysis.tier_targets(g.tests, g.inventory, TARGETS),
     "SELECT *, round(target - pass_rate, 1) AS gap FROM (SELECT regulatory_criticality, count(*) AS tests, count(*) FILTER (WHERE status = 'Pass') AS passed, round(100e0 * count(*) FILTER (WHERE status = 'Pass') / count(*), 1) AS pass_rate, CASE regulatory_criticality WHEN 'High' THEN 95e0 WHEN 'Medium' THEN 85e0 ELSE 75e0 END AS target FROM gt JOIN inv USING (dataset_id) GROUP BY 1)")

@@ -14,7 +14,7 @@ from plumbline.operators.exceptions import EXCEPTION_COLUMNS
 from plumbline.operators.watchlist import WATCHLIST_COLUMNS
 from plumbline.session import shared_folder
 from plumbline.sources import readers, sampling, store
-from plumbline.streaming import arrivals, control_stream
+from plumbline.streaming import arrivals, control_stream, silence
 
 from . import event_queries as ev
 from .core import register, table
@@ -41,6 +41,19 @@ register("s01_csv_events", lambda s, sf: readers.load_events(s, full=_events_csv
          ev.sql("SELECT epoch_us(ts) // 1000 AS \"timestamp\", visitorid, event, itemid, transactionid FROM ev"))
 
 
+def _two_orders_csv(spark, sf) -> str:
+    """One folder of event files whose columns are in two orders."""
+    path = shared_folder(spark, "events-two-orders")
+    e = dirty_events(spark, sf).select(F.floor(wall_micros(c("ts")) / 1000).alias("timestamp"), "visitorid", "event", "itemid", "transactionid", "event_id")
+    for k, names in enumerate((["timestamp", "visitorid", "event", "itemid", "transactionid"], ["itemid", "transactionid", "visitorid", "timestamp", "event"])):
+        e.filter(F.pmod("event_id", F.lit(2)) == k).select(*names).write.mode("append").option("header", True).csv(path)
+    return path
+
+
+register("s01b_csv_two_orders", lambda s, sf: readers.load_events(s, full=_two_orders_csv(s, sf)),
+         ev.sql("SELECT epoch_us(ts) // 1000 AS \"timestamp\", visitorid, event, itemid, transactionid FROM ev"))
+
+
 def _property_parts(spark, sf):
     base = shared_folder(spark, "item-properties")
     props = ev.item_properties(spark, sf)
@@ -261,6 +274,19 @@ register("e01c_each_missed_window", lambda s, sf: arrivals.each_window(arrivals.
              (SELECT event_type, window_start, lag(window_start) OVER (PARTITION BY event_type ORDER BY window_start) AS prev FROM ({CLOSED})) WHERE window_start > prev + INTERVAL 15 MINUTE""")
 
 
+def _silence_alerts(spark, sf):
+    """Users without an event for two days when the stream has read everything."""
+    base = shared_folder(spark, "silence")
+    alerts = silence.silent_feeds(_stream(spark, sf), "user_id", "ts", limit_minutes=2 * 1440)
+    silence.start_alerts(alerts, f"{base}/alerts", f"{base}/progress").awaitTermination()
+    return spark.read.schema(alerts.schema).parquet(f"{base}/alerts").select("user_id", c("silent_since").cast("timestamp_ntz").alias("silent_since"))
+
+
+register("e01d_silence_alerts", _silence_alerts,
+         """SELECT user_id, date_trunc('millisecond', max(ts)) AS silent_since FROM events WHERE user_id IS NOT NULL GROUP BY 1
+            HAVING max(ts) + INTERVAL 2 DAY < (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE""")
+
+
 def _incremental(spark, sf):
     g = Governance(spark, sf)
     base = shared_folder(spark, "control-stream")

@@ -25,6 +25,22 @@ def test_csv_types_and_blanks(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1430438401000, 12, "view", None, None), (None, None, "transaction", 9223372036854775807, "T1")]
 
 
+def test_a_folder_of_files_with_columns_in_different_orders(spark, tmp_path):
+    folder = tmp_path / "parts one"
+    folder.mkdir()
+    write(folder / "a.csv", "categoryid,parentid\n2,20\n")
+    write(folder / "b.csv", " parentid ,categoryid\n30,3\n")
+    write(folder / "c.csv", "")
+    import gzip
+
+    (folder / "d.csv.gz").write_bytes(gzip.compress(b"\xef\xbb\xbf\"parentid\",note,categoryid\n40,x,4\n"))
+    rows = readers.load_category_tree(spark, str(folder)).collect()
+    assert sorted(tuple(r) for r in rows) == [(2, 20), (3, 30), (4, 40)]
+    write(folder / "e.csv", "categoryid,other\n1,1\n")
+    with pytest.raises(ValueError, match="parentid"):
+        readers.load_category_tree(spark, str(folder))
+
+
 def test_event_path_choice(spark, tmp_path):
     head = "timestamp,visitorid,event,itemid,transactionid\n"
     full, sample, own = (write(tmp_path / n, head + f"1,{i},view,1,\n") for i, n in enumerate(("full.csv", "sample.csv", "own.csv")))
