@@ -25,7 +25,7 @@ from .common import bytes_of, slices
 from .merges import Merges, from_ranks
 from .token_counts import END, Splitter
 
-PIECES_HELD = 250_000  # in each of two generations
+PIECES_HELD = 60_000  # in each of two generations
 TEXT_AT_ONCE = 1 << 20
 #: fixed value: the pattern whose pieces ``token_counts.Splitter`` finds; for another one the regex itself is run
 SPLITTER_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

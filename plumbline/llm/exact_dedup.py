@@ -86,8 +86,8 @@ def deduplicate(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     def matches(side: DataFrame):
         return table[digest].eqNullSafe(side[other]) & table["doc_id"].eqNullSafe(side[key])
 
-    single = table.join(pairs, matches(pairs), "left_anti")
-    again = pairs.filter(kept)
+    all_pairs, again = pairs.hint("shuffle_hash"), pairs.filter(kept).hint("shuffle_hash")  # small rows; the texts are not sorted
+    single = table.join(all_pairs, matches(all_pairs), "left_anti")
     if again.isEmpty():
         return single.drop(digest)
     repeated = table.join(again, matches(again), "left_semi").dropDuplicates(["doc_id", digest])

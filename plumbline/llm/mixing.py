@@ -116,7 +116,8 @@ def sample_text(docs: DataFrame, **parameters) -> DataFrame:
     plan = plan.filter((F.col(taken_) > 0) | (F.col(size_) == 0))
     seed = parameters.get("seed", 7)
     keyed = docs.withColumn(doc_key, F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_key))
-    joined = keyed.join(plan, keyed["doc_id"].eqNullSafe(plan[id_]) & (keyed[doc_key] == plan[plan_key]))
+    small = plan.hint("shuffle_hash")  # small rows; the texts are not sorted
+    joined = keyed.join(small, keyed["doc_id"].eqNullSafe(small[id_]) & (keyed[doc_key] == small[plan_key]))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

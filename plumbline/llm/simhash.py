@@ -232,8 +232,8 @@ def keep_one(docs: DataFrame, find: Callable = near_duplicates, mark: Callable =
     chosen = firsts.select(id_, F.lit(True).alias(stays)).distinct()
     ids = found.groupBy("doc_id").count().join(chosen, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
     ids = settle(ids.filter(F.col(stays).isNull() | (F.col("count") > 1)).select(F.col("doc_id").alias(id_), stays), "dropped")
-    again = ids.filter(stays)
-    single = docs.join(ids, docs["doc_id"].eqNullSafe(ids[id_]), "left_anti")
+    gone, again = ids.hint("shuffle_hash"), ids.filter(stays)  # small rows; the texts are not sorted
+    single = docs.join(gone, docs["doc_id"].eqNullSafe(gone[id_]), "left_anti")
     if again.isEmpty():
         return single
     some = mark(docs.join(again, docs["doc_id"].eqNullSafe(again[id_]), "left_semi"), out=doc_fp)

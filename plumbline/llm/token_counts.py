@@ -98,7 +98,8 @@ class Splitter:
             table.append(row)
         self.maps, self.extend = np.array(maps, np.uint8), np.array(table, np.uint16)
         self.kinds = np.full(0x110000, OTHER, np.uint8)
-        everything = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+        points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+        everything = points.astype("<u4").tobytes().decode("utf-32-le")
         for pattern, kind in ((r"\p{L}+", PLAIN), (r"\p{N}+", NUMBER), (r"\s+", BLANK)):
             for run in regex.finditer(pattern, everything):
                 a, b = ord(run[0][0]), ord(run[0][-1])
