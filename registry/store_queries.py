@@ -65,7 +65,7 @@ def _property_parts(spark, sf):
 
 register("s02_csv_property_parts",
          lambda s, sf: readers.load_item_properties(s, _property_parts(s, sf)).groupBy("property").agg(
-             F.count("*").alias("row_count"), F.countDistinct("itemid").alias("items"), F.sum("timestamp").cast("decimal(38,0)").cast("string").alias("time_sum")),
+             F.count("*").alias("row_count"), F.countDistinct("itemid").alias("items"), F.sum(c("timestamp").cast("decimal(38,0)")).cast("string").alias("time_sum")),
          ev.sql("SELECT property, count(*) AS row_count, count(DISTINCT itemid) AS items, CAST(sum(\"timestamp\") AS VARCHAR) AS time_sum FROM props GROUP BY 1", ev.PROPS))
 
 

@@ -2,7 +2,9 @@
 
 import datetime as dt
 
+import duckdb
 import pytest
+from oracle_check import compare
 from pyspark.sql import functions as F
 
 from plumbline import schemas
@@ -10,7 +12,7 @@ from plumbline.operators import runs
 from plumbline.plans import event_quality, governance
 from plumbline.session import settle, shared_folder
 from plumbline.sources import readers, sampling, store
-from registry import event_data
+from registry import ORACLES, QUERIES, event_data
 from registry.governance_data import Governance
 
 
@@ -41,6 +43,21 @@ def test_a_folder_of_files_with_columns_in_different_orders(spark, tmp_path):
         readers.load_category_tree(spark, str(folder))
 
 
+def test_time_sums_of_property_parts_beyond_64_bits(spark, tmp_path):
+    i = F.col("id")
+    times = F.when(i % 3 == 0, "1995-03-01 00:00:00.001").when(i % 3 == 1, "9999-12-30 23:59:59").otherwise("9999-12-31 23:59:59.999")
+    spark.range(120_000).select(
+        (i % 70).alias("l_partkey"), (i % 5).alias("l_suppkey"), (i % 20).cast("double").alias("l_quantity"),
+        F.when(i % 2 == 0, "R").otherwise("N").alias("l_returnflag"), times.cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+        df = QUERIES["s02_csv_property_parts"](spark, str(tmp_path))
+        assert compare(df, con, ORACLES["s02_csv_property_parts"]) is None
+    sums = [int(r.time_sum) for r in df.collect()]
+    assert len(sums) == 2 and min(sums) >= 2**63
+
+
 def test_event_path_choice(spark, tmp_path):
     head = "timestamp,visitorid,event,itemid,transactionid\n"
     full, sample, own = (write(tmp_path / n, head + f"1,{i},view,1,\n") for i, n in enumerate(("full.csv", "sample.csv", "own.csv")))
